@@ -74,11 +74,7 @@ def parsed_elements(parsed: DataFrame, path: str = "path", json: str = "parsed_c
 
 def broken_documents(parsed: DataFrame, json: str = "parsed_content") -> DataFrame:
     """Parsed documents whose JSON cannot be read, to be set aside instead of failing the run."""
-    return parsed.filter(F.from_json(F.col(json), "document string").isNull() | ~_is_json(json))
-
-
-def _is_json(json: str) -> Column:
-    return F.call_function("json_object_keys", F.col(json)).isNotNull()
+    return parsed.filter(F.try_parse_json(json).isNull())
 
 
 def paper_chunks(
