@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusforge.functions import text as tx
@@ -27,9 +27,9 @@ def explode_chunks(
     ).filter(F.col(chunk).isNotNull())
 
 
-def pages_in_range(pages: DataFrame, key: Column, first: int, last: int) -> DataFrame:
-    """The pages whose key lies in a range; keys without a page are missing, not null."""
-    return pages.filter(key.between(first, last))
+def pages_for_keys(pages: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """One page per wanted key; a key without a page is dropped."""
+    return pages.join(keys.select(key), key, "left_semi")
 
 
 def section_chunks(
@@ -73,8 +73,10 @@ def parsed_elements(parsed: DataFrame, path: str = "path", json: str = "parsed_c
 
 
 def broken_documents(parsed: DataFrame, json: str = "parsed_content") -> DataFrame:
-    """Parsed documents whose JSON cannot be read, to be set aside instead of failing the run."""
-    return parsed.filter(F.try_parse_json(json).isNull())
+    """Parsed documents that are no JSON object, to be set aside instead of failing the run."""
+    kind = F.schema_of_variant(F.try_parse_json(json))
+    is_object = F.startswith(kind, F.lit("OBJECT")) & F.endswith(tx.strip(json), F.lit("}"))
+    return parsed.filter(~F.coalesce(is_object, F.lit(False)))
 
 
 def paper_chunks(

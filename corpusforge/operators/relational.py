@@ -147,7 +147,7 @@ def winner_parts(
         )
         .select("entity", "year", "_total", "_parts", F.coalesce("_offset", F.lit(0)).alias("_offset"))
     )
-    bucket = F.pmod(F.xxhash64(*WINNER_FIELDS), F.col("_parts"))
+    bucket = F.pmod(F.xxhash64(*[F.col(f"w.{c}") for c in WINNER_FIELDS]), F.col("_parts"))
     placed = won.alias("w").join(
         layout.alias("l"),
         F.col("w.entity").eqNullSafe(F.col("l.entity"))
@@ -156,7 +156,7 @@ def winner_parts(
     return (
         placed.select(
             "w.*",
-            F.when(F.col("_total") <= per_part, 0)
+            F.when(F.col("_total") <= per_part, F.lit(0).cast("long"))
             .otherwise(1 + F.col("_offset") + bucket)
             .alias("part"),
         )
