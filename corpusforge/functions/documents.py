@@ -41,13 +41,12 @@ def page_title(html: Column | str) -> Column:
 def page_sections(html: Column | str) -> Column:
     """``array<struct<section_title, text>>`` in document order: one entry per paragraph of the article."""
     page = col(html)
-    visible = F.regexp_replace(
-        page, "(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->", ""
-    )
+    visible = F.regexp_replace(page, "(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->", "")
     article = F.regexp_extract(visible, "(?s)<article>(.*?)</article>", 1)
-    blocks = F.slice(F.split(article, "<p[^>]*>"), F.lit(2), F.size(F.split(article, "<p[^>]*>")))
+    body = F.regexp_replace(article, "(?s)<h1>.*?</h1>", "")
     title = page_title(visible)
     sections = F.transform(
-        blocks, lambda b: F.struct(title.alias("section_title"), _without_tags(b).alias("text"))
+        F.split(body, "<p[^>]*>"),
+        lambda b: F.struct(title.alias("section_title"), _without_tags(b).alias("text")),
     )
     return F.filter(sections, lambda s: ~is_blank(s["text"]))

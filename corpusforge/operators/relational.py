@@ -219,35 +219,48 @@ def entity_summary(
     winner lists (parts 1, 2, ..., to be joined by a comma and a blank) and a closing (the last part).
     The default text keeps the blanks of the original wording; ``tidy`` puts them right.
     """
-    profile = entity_profile(entries, entity)
-    winners = winner_parts(entries, entity, per_part).select(
-        "entity", "part", winner_list(F.col("winning_entries")).alias("winners")
-    )
     opening, closing = _opening(event, tidy), _closing(tidy)
     won = F.concat(F.lit(" They have won "), F.col("wins"), F.lit(" time(s): "))
+    lists = F.col("winners")
+    # one part per started per_part wins of a year, so this number lies behind every winner list
+    last = F.col("wins") + 1
+
+    def piece(kind: str, part: Column, slot: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), part.alias("first"), slot.alias("slot"))
+
+    none, zero = F.lit(None).cast("int"), F.lit(0).cast("long")
+    pieces = F.when(
+        F.col("wins") <= per_part, F.array(piece("whole", zero, F.lit(0)))
+    ).otherwise(
+        F.array(
+            piece("opening", zero, none), piece("list", zero, F.lit(1)), piece("closing", last, none)
+        )
+    )
+    profile = entity_profile(entries, entity).withColumn("piece", F.explode(pieces))
     # keys are compared null-safe: an entity without a name is an entity as well
-    small = winners.filter(F.col("part") == 0).select(F.col("entity").alias("_entity"), "winners")
-    whole = profile.filter(F.col("wins") <= per_part).join(
-        small, F.col("entity").eqNullSafe(F.col("_entity")), "left"
+    winners = winner_parts(entries, entity, per_part).select(
+        F.col("entity").alias("_entity"),
+        "part",
+        F.when(F.col("part") == 0, 0).otherwise(1).alias("_slot"),
+        winner_list(F.col("winning_entries")).alias("winners"),
+    )
+    joined = profile.join(
+        winners,
+        F.col("entity").eqNullSafe(F.col("_entity")) & (F.col("piece.slot") == F.col("_slot")),
+        "left",
     )
-    result = F.when(F.col("wins") > 0, F.concat(won, F.col("winners"), F.lit("."))).otherwise(
+    result = F.when(F.col("wins") > 0, F.concat(won, lists, F.lit("."))).otherwise(
         F.lit(" They have never won.")
     )
-    chunk_id = slug("entity").alias("chunk_id")
-    one = whole.select(
-        chunk_id, F.lit(0).cast("long").alias("part"), F.concat(opening, result, closing).alias("text")
+    kind = F.col("piece.kind")
+    text = (
+        F.when(kind == "whole", F.concat(opening, result, closing))
+        .when(kind == "opening", F.concat(opening, won))
+        .when(kind == "list", lists)
+        .otherwise(F.concat(F.lit("."), closing))
+    )
+    return joined.select(
+        slug("entity").alias("chunk_id"),
+        F.when(kind == "list", F.col("part")).otherwise(F.col("piece.first")).alias("part"),
+        text.alias("text"),
     )
-    # one part per started per_part wins of a year, so this number lies behind every winner list
-    last = F.col("wins") + 1
-    hot = profile.filter(F.col("wins") > per_part)
-    frame = hot.select(
-        chunk_id,
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).cast("long").alias("part"), F.concat(opening, won).alias("text")),
-                F.struct(last.alias("part"), F.concat(F.lit("."), closing).alias("text")),
-            )
-        ).alias("piece"),
-    ).select("chunk_id", "piece.*")
-    lists = winners.filter(F.col("part") > 0).select(chunk_id, "part", F.col("winners").alias("text"))
-    return one.unionByName(frame).unionByName(lists)

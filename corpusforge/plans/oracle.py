@@ -112,7 +112,8 @@ blocks AS (
   SELECT page_id, regexp_replace(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), '<[^>]*>', '', 'g') AS title,
     list_filter(
       list_transform(
-        string_split_regex(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '<p[^>]*>')[2:],
+        string_split_regex(regexp_replace(
+          regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '<h1>.*?</h1>', '', 's'), '<p[^>]*>'),
         lambda b: regexp_replace(b, '<[^>]*>', '', 'g')),
       lambda b: trim(b, {_quote(WHITESPACE)}) <> '') AS texts
   FROM visible
