@@ -129,3 +129,16 @@ def chunk_stats(chunks: DataFrame, by: str = "source", text: str = "text") -> Da
 
 def duplicate_ids(chunks: DataFrame, key: str = "id") -> DataFrame:
     return chunks.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+
+
+def unique_ids(chunks: DataFrame, key: str = "id", text: str = "text") -> DataFrame:
+    """Chunks whose colliding ids carry a digest of their text; exact copies become one row.
+
+    Only the colliding rows are touched, the others pass without a shuffle of their texts.
+    """
+    colliding = duplicate_ids(chunks, key).select(key)
+    apart = chunks.join(colliding, key, "left_semi").withColumn(
+        key, F.concat_ws("_", key, F.left(F.sha2(text, 256), F.lit(16)))
+    )
+    alone = chunks.join(colliding, key, "left_anti")
+    return alone.unionByName(apart.dropDuplicates([key]))
