@@ -157,7 +157,7 @@ def vector_topk(
     )
     rows = q.limit(max_broadcast + 1).toArrow()
     if rows.num_rows == 0:
-        return c.sparkSession.createDataFrame([], out.add("rank", "int"))
+        return top_k(c.sparkSession.createDataFrame([], out), k)
     if rows.num_rows <= max_broadcast:
         block = _query_block(rows, probing)
 
