@@ -62,9 +62,14 @@ def strict_concat(sep: str, *cols: Column | str) -> Column:
 
 def clean(c: Column | str) -> Column:
     """Undo hyphenation across line breaks, then collapse every whitespace run to one blank."""
-    joined = F.regexp_replace(col(c), f"({WORD})-{WS}*\\n{WS}*({WORD})", "$1$2")
-    flat = F.regexp_replace(joined, f"{WS}*\\n{WS}*", " ")
-    return strip(F.regexp_replace(flat, f"{WS}+", " "))
+    text = col(c)
+    # the cheap test spares most texts the costly pattern
+    joined = F.when(
+        F.regexp_like(text, F.lit(f"-{WS}*\\n")),
+        F.regexp_replace(text, f"({WORD})-{WS}*\\n{WS}*({WORD})", "$1$2"),
+    ).otherwise(text)
+    # line breaks are whitespace as well, so one pass covers them; only blanks are left at the ends
+    return F.trim(F.regexp_replace(joined, f"{WS}+", " "))
 
 
 def path_id(path: Column | str) -> Column:

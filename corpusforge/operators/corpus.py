@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusforge.functions import text as tx
 from corpusforge.functions.dates import stamp_day, stamp_month, stamp_year
 from corpusforge.functions.documents import page_sections, page_title, text_elements
+from corpusforge.scaling import sized
 
 
 def explode_chunks(
@@ -136,7 +137,7 @@ def unique_ids(chunks: DataFrame, key: str = "id", text: str = "text") -> DataFr
 
     Only the colliding rows are touched, the others pass without a shuffle of their texts.
     """
-    colliding = duplicate_ids(chunks, key).select(key)
+    colliding = sized(duplicate_ids(chunks, key).select(key))
     apart = chunks.join(colliding, key, "left_semi").withColumn(
         key, F.concat_ws("_", key, F.left(F.sha2(text, 256), F.lit(16)))
     )

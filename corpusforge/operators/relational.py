@@ -132,12 +132,11 @@ def winner_parts(
     won = entries.filter(F.col("final_place") == 1).select(
         F.col(entity).alias("entity"), *WINNER_FIELDS
     )
-    by_year = _yearly(entries, entity).groupBy("entity", "year").agg(F.sum("n_won").alias("n"))
+    by_year = won.groupBy("entity", "year").agg(F.count("*").alias("n"))
     per_entity = Window.partitionBy("entity")
     parts = F.ceil(F.col("n") / per_part).cast("long")
     layout = (
-        by_year.filter(F.col("n") > 0)
-        .withColumn("_total", F.sum("n").over(per_entity))
+        by_year.withColumn("_total", F.sum("n").over(per_entity))
         .withColumn("_parts", parts)
         .withColumn(
             "_offset",

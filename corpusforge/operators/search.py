@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from corpusforge.functions.text import token_count, tokens
-from corpusforge.scaling import fits, join_lookup
+from corpusforge.operators.upsert import without_keys
+from corpusforge.scaling import cut_lineage, fits, join_lookup, sized
 
 # The usual BM25 parameters and the rank-fusion constant of the published formulas.
 BM25_K1 = 1.2
@@ -25,6 +26,7 @@ RRF_K = 60
 
 SCORE_DIGITS = 6
 MAX_BROADCAST_QUERIES = 4096
+MAX_CELLS = 65_536
 QUERY_BLOCK = 1024
 CORPUS_BLOCK = 50_000
 
@@ -219,10 +221,10 @@ def assign_cells(
     ``cells`` is a coarse quantizer: one centre per row, by dot product. A corpus stored partitioned by
     ``cell`` lets a search read the probed cells only.
     """
-    rows = cells.select(F.col(cell).cast("int").alias("cell"), vector).limit(MAX_BROADCAST_QUERIES + 1)
+    rows = cells.select(F.col(cell).cast("int").alias("cell"), vector).limit(MAX_CELLS + 1)
     table = rows.toArrow()
-    if table.num_rows > MAX_BROADCAST_QUERIES:
-        raise ValueError(f"a quantizer has at most {MAX_BROADCAST_QUERIES} cells")
+    if table.num_rows > MAX_CELLS:
+        raise ValueError(f"a quantizer has at most {MAX_CELLS} cells")
     names = table.column("cell").to_numpy()
     order = np.argsort(names)
     names, centres = names[order], _matrix(table.column(vector))[order]
@@ -349,8 +351,8 @@ def search(
     else:
         raise ValueError(f"unknown query type: {query_type}")
     wanted = columns or [id, text]
-    found = found.select("qid", F.col("id").alias("_id"), "score", "rank")
-    # the few hits are the small side of this join; Spark sizes it at run time
+    # hits are few, but Spark cannot know that before it has started to shuffle the corpus
+    found = sized(found.select("qid", F.col("id").alias("_id"), "score", "rank"))
     return found.join(corpus, F.col("_id") == F.col(id)).select("qid", *wanted, "score", "rank")
 
 
@@ -374,7 +376,8 @@ def tfidf_vectors(
 
 def sync_index(index: DataFrame, feed: DataFrame, embed, key: str = "id") -> DataFrame:
     """The vector index after a change feed of its text table: only changed rows are embedded anew."""
+    feed = cut_lineage(feed)
     changed = feed.filter(F.col("_change_type").isin("insert", "update_postimage"))
     entering = embed(changed.drop("_change_type"))
-    kept = index.join(feed.select(key).distinct(), key, "left_anti")
+    kept = without_keys(index, feed, key)
     return kept.unionByName(entering.select(*index.columns))

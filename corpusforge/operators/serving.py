@@ -113,14 +113,18 @@ def last_answers(conversations: DataFrame) -> DataFrame:
 
 
 def conversation_outcome(conversations: DataFrame, cap: int = TURN_CAP) -> DataFrame:
-    """Whether a conversation ended with the assistant, ran into the turn cap, or is open."""
+    """Whether a conversation ended with the assistant, ran into the turn cap, or is open.
+
+    Turn and speaker travel in one number, so that the aggregate hashes and never sorts.
+    """
+    by_assistant = F.when(F.col("role") == "assistant", 1).otherwise(0)
     ends = conversations.groupBy("conv_id").agg(
-        F.count("*").alias("turns"), F.max_by("role", "turn").alias("last_role")
+        F.count("*").alias("turns"), F.max(F.col("turn") * 2 + by_assistant).alias("_last")
     )
     return ends.select(
         "conv_id",
         "turns",
-        F.when(F.col("last_role") == "assistant", "answered")
+        F.when(F.col("_last") % 2 == 1, "answered")
         .when(F.col("turns") >= cap, "max_iterations")
         .otherwise("open")
         .alias("outcome"),

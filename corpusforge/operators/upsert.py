@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusforge.scaling import cut_lineage, fits
+
 
 def new_keys_only(source: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Source rows whose key is not there yet. A null key is never there and stays."""
@@ -58,14 +60,17 @@ def changed_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 def change_feed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Rows that turn ``old`` into ``new``: insert, update_preimage, update_postimage and delete.
 
-    Copies of one row count as one row.
+    Copies of one row count as one row. The changed keys are worked out first; while they are few they are
+    broadcast to both snapshots, so that no payload is shuffled to find them.
     """
-    changes = changed_keys(old, new, key)
+    changes = cut_lineage(changed_keys(old, new, key))
+    few = fits(changes)
 
     def rows(df: DataFrame, kinds: list[str]) -> DataFrame:
         picked = changes.filter(F.col("_change_type").isin(kinds)).select(
             F.col(key).alias("_key"), F.col("_hash").alias("_changed_hash"), "_change_type"
         )
+        picked = F.broadcast(picked) if few else picked
         hashed = df.withColumn("_hash", row_hash(df, key))
         same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_changed_hash"))
         return (
@@ -78,8 +83,16 @@ def change_feed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return rows(new, ["insert", "update_postimage"]).unionByName(gone)
 
 
+def without_keys(df: DataFrame, feed: DataFrame, key: str) -> DataFrame:
+    """Rows whose key a (computed) change feed does not touch; a null key can be touched as well."""
+    keys = feed.select(F.col(key).alias("_key")).distinct()
+    keys = F.broadcast(keys) if fits(keys) else keys
+    return df.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+
+
 def apply_changes(target: DataFrame, feed: DataFrame, key: str) -> DataFrame:
     """The target after a change feed: touched keys leave, inserts and postimages enter."""
-    kept = target.join(feed.select(key).distinct(), key, "left_anti")
+    feed = cut_lineage(feed)
+    kept = without_keys(target, feed, key)
     entering = feed.filter(F.col("_change_type").isin("insert", "update_postimage"))
     return kept.unionByName(entering.select(*target.columns))

@@ -123,7 +123,8 @@ class CorpusRefresh:
         new = self.table("corpus__new")
         if self.exists("corpus") and self.exists("corpus_index"):
             feed = U.change_feed(self.table("corpus"), new, "id")
-            index = S.sync_index(self.table("corpus_index"), feed, embed)
+            TB.overwrite(feed, self.name("corpus_changes"))
+            index = S.sync_index(self.table("corpus_index"), self.table("corpus_changes"), embed)
         else:
             index = embed(new)
         TB.overwrite(index, self.name("corpus_index"), bucket_by=(self.buckets, "id"))

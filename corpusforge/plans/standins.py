@@ -10,12 +10,35 @@ from corpusforge.functions.dates import minute_stamp
 from corpusforge.operators import corpus as C
 from corpusforge.operators import relational as R
 from corpusforge.scaling import spread
+from corpusforge.schemas import DOCUMENT, PAGE
 
 RUN_ID = 202501010000
 # Fixed value: the first publication minute of the stand-in papers, 2020-01-01 as seconds.
 FIRST_PAPER = 1_577_836_800
 
 
+# Declared, so that opening a table reads no file.
+TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey LONG, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey LONG, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey LONG, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey LONG, o_custkey LONG, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP, o_orderpriority STRING",
+    "lineitem": "l_orderkey LONG, l_partkey LONG, l_suppkey LONG, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP",
+    "events": "event_id LONG, ts TIMESTAMP, user_id LONG, event_type STRING, value DOUBLE, props STRING",
+    "documents": DOCUMENT,
+    "labels": "doc_id LONG, quality INT, toxic INT",
+    "embeddings": "vec_id LONG, embedding ARRAY<FLOAT>, label INT",
+    "pages": PAGE,
+    "benchmark": "item_id LONG, text STRING",
+    "conversations": "conv_id LONG, turn LONG, role STRING, text STRING",
+}
+
+
 class Tables:
     """The parquet tables of one folder, by attribute."""
 
@@ -25,7 +48,9 @@ class Tables:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in TABLES:
+            raise AttributeError(name)
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
 
 def country(t: Tables) -> DataFrame:
@@ -147,7 +172,7 @@ def queries(t: Tables) -> DataFrame:
 
 def corpus(t: Tables) -> DataFrame:
     """Documents with the vector of their number, where there is one."""
-    docs = t.documents.select("doc_id", "source", "text")
+    docs = documents(t, "source", "text")
     return docs.join(t.embeddings, F.col("doc_id") == F.col("vec_id"), "left")
 
 

@@ -16,10 +16,10 @@ SALTS = 32
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """True when ``df`` holds at most ``max_rows`` rows and ``max_bytes`` of content.
 
-    Reads at most ``max_rows + 1`` rows, and only counters come back to the driver.
+    A plain aggregate: partial counts per task, two numbers to the driver.
     """
     width = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
-    seen = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(width).alias("b")).first()
+    seen = df.agg(F.count("*").alias("n"), F.sum(width).alias("b")).first()
     return seen["n"] <= max_rows and (seen["b"] or 0) <= max_bytes
 
 
@@ -41,10 +41,21 @@ def join_lookup(
     return salted_join(left, right, key, spread_by)
 
 
+def sized(df: DataFrame) -> DataFrame:
+    """``df`` computed once and cut off, with a broadcast hint when it turned out to be small.
+
+    For the narrow side of a join whose other side carries payload: Spark would otherwise start to shuffle
+    the payload before it knows that the narrow side is small.
+    """
+    done = cut_lineage(df)
+    return F.broadcast(done) if fits(done) else done
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal rows out to all cores when a scan has fewer splits than the cluster has cores.
 
-    For work that costs CPU per row. On large tables the scan has splits enough and nothing happens.
+    For plain scans ahead of work that costs CPU per row. On large tables the scan has splits enough and
+    nothing happens.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
