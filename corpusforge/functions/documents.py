@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusforge.functions.text import col, is_blank
+from corpusforge.functions.text import col, is_blank, let
 
 PARSED_SCHEMA = "document struct<elements:array<struct<id:string,type:string,content:string>>>"
 
@@ -40,13 +40,17 @@ def page_title(html: Column | str) -> Column:
 
 def page_sections(html: Column | str) -> Column:
     """``array<struct<section_title, text>>`` in document order: one entry per paragraph of the article."""
-    page = col(html)
-    visible = F.regexp_replace(page, "(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->", "")
-    article = F.regexp_extract(visible, "(?s)<article>(.*?)</article>", 1)
-    body = F.regexp_replace(article, "(?s)<h1>.*?</h1>", "")
-    title = page_title(visible)
-    sections = F.transform(
-        F.split(body, "<p[^>]*>"),
-        lambda b: F.struct(title.alias("section_title"), _without_tags(b).alias("text")),
-    )
-    return F.filter(sections, lambda s: ~is_blank(s["text"]))
+    visible = F.regexp_replace(col(html), "(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->", "")
+
+    def sections(article: Column) -> Column:
+        body = F.regexp_replace(article, "(?s)<h1>.*?</h1>", "")
+        texts = F.transform(F.split(body, "<p[^>]*>"), _without_tags)
+        shown = F.filter(texts, lambda t: ~is_blank(t))
+        return let(
+            page_title(article),
+            lambda title: F.transform(
+                shown, lambda t: F.struct(title.alias("section_title"), t.alias("text"))
+            ),
+        )
+
+    return let(F.regexp_extract(visible, "(?s)<article>(.*?)</article>", 1), sections)

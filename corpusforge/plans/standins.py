@@ -68,7 +68,7 @@ def contest(t: Tables) -> DataFrame:
 
 
 def song(t: Tables) -> DataFrame:
-    return t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
+    return spread(t.lineitem, "l_orderkey").join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
         F.col("l_orderkey").alias("orderkey"),
         F.col("l_linenumber").alias("linenumber"),
         F.col("l_partkey").alias("partkey"),

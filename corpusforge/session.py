@@ -16,6 +16,8 @@ def build_session(app: str = "corpusforge", master: str | None = None, **conf: s
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # a table this small, by the optimizer's own statistics, is cheaper sent than shuffled for
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **conf,
     }
