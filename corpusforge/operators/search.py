@@ -27,6 +27,7 @@ RRF_K = 60
 SCORE_DIGITS = 6
 MAX_BROADCAST_QUERIES = 4096
 MAX_CELLS = 65_536
+WORD_BUCKETS = 64
 QUERY_BLOCK = 1024
 CORPUS_BLOCK = 50_000
 
@@ -255,6 +256,25 @@ def query_terms(queries: DataFrame, qid: str = "qid", text: str = "text") -> Dat
     return words.filter(F.col("term") != "").distinct()
 
 
+def _words(corpus: DataFrame, id: str, text: str) -> DataFrame:
+    """``(id, n_words, term)``, one row per word of every text."""
+    return (
+        corpus.select(F.col(id).alias("id"), tokens(text).alias("_tokens"))
+        .select("id", token_count("_tokens").alias("n_words"), F.explode_outer("_tokens").alias("term"))
+        .filter(F.col("term") != "")
+    )
+
+
+def _counted(words: DataFrame) -> DataFrame:
+    return words.groupBy("id", "n_words", "term").agg(F.count("*").alias("tf"))
+
+
+def corpus_totals(corpus: DataFrame, text: str = "text") -> DataFrame:
+    """One row: number of texts and their average length in words."""
+    counted = corpus.select(token_count(tokens(text)).alias("n_words"))
+    return counted.agg(F.count("n_words").alias("n"), F.avg("n_words").alias("avg_words"))
+
+
 def keyword_topk(
     queries: DataFrame,
     corpus: DataFrame,
@@ -266,35 +286,56 @@ def keyword_topk(
 ) -> DataFrame:
     """BM25 over the whole texts of the corpus: ``(qid, id, score, rank)``.
 
-    Only words that occur in a query leave the scan, already counted per text. What is shuffled grows with
-    the matching words and not with queries times texts: the queries are multiplied in after the words of a
-    text have come together, and the top-k cut precedes the last exchange. A corpus bucketed by id saves
-    the word exchange as well.
+    Only words that occur in a query leave the scan, already counted per text. A corpus bucketed by id saves
+    the exchange of these words; for a corpus that is searched again and again see ``word_index``.
     """
+    corpus = with_filters(corpus, filters)
     wanted = query_terms(queries, qid, text)
+    small = fits(wanted)
     terms = wanted.select("term").distinct()
+    hits = _counted(join_lookup(_words(corpus, id, text), terms, "term", F.col("id"), small))
+    return _rank_hits(wanted, hits, corpus_totals(corpus, text), k, small)
+
+
+def word_index(corpus: DataFrame, id: str = "id", text: str = "text") -> DataFrame:
+    """Words counted per text, for storage partitioned by ``bucket`` next to ``corpus_totals``."""
+    return _counted(_words(corpus, id, text)).withColumn("bucket", _bucket())
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("term"), F.lit(WORD_BUCKETS)).cast("int")
+
+
+def indexed_topk(
+    queries: DataFrame, index: DataFrame, totals: DataFrame, k: int = 5, qid: str = "qid", text: str = "text"
+) -> DataFrame:
+    """As ``keyword_topk`` on a stored ``word_index``: reads the buckets of the query words, no text."""
+    wanted = query_terms(queries, qid, text)
     small = fits(wanted)
-    words = (
-        with_filters(corpus, filters)
-        .select(F.col(id).alias("id"), tokens(text).alias("_tokens"))
-        .select("id", token_count("_tokens").alias("n_words"), F.explode_outer("_tokens").alias("term"))
-        .filter(F.col("term") != "")
-    )
-    hits = (
-        join_lookup(words, terms, "term", F.col("id"), small)
-        .groupBy("id", "n_words", "term")
-        .agg(F.count("*").alias("tf"))
-    )
-    totals = (
-        with_filters(corpus, filters)
-        .select(token_count(tokens(text)).alias("n_words"))
-        .agg(F.struct(F.count("n_words").alias("n"), F.avg("n_words").alias("avg_words")).alias("t"))
-        .scalar()
-    )
-    # counting through tf keeps this branch equal to the one above, so its exchange is reused
+    terms = wanted.select("term").distinct()
+    if small:
+        # joining on the bucket as well lets Spark skip the partitions that no query word falls into
+        keyed = F.broadcast(terms.withColumn("bucket", _bucket()))
+        hits = index.join(keyed, ["bucket", "term"]).drop("bucket")
+    else:
+        hits = join_lookup(index.drop("bucket"), terms, "term", F.col("id"), small)
+    return _rank_hits(wanted, hits, totals, k, small)
+
+
+def _rank_hits(
+    wanted: DataFrame, hits: DataFrame, totals: DataFrame, k: int, small: bool
+) -> DataFrame:
+    """Score counted words and keep the best texts per query.
+
+    What is shuffled grows with the matching words and not with queries times texts: the queries are
+    multiplied in after the words of a text have come together, and the top-k cut precedes the last exchange.
+    """
+    total = totals.select(F.struct("n", "avg_words")).scalar()
+    # counting through tf keeps this branch equal to the one below, so its exchange is reused
     frequencies = hits.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    weight = bm25(F.col("tf"), F.col("df"), F.col("n_words"), total["n"], total["avg_words"])
     weighted = join_lookup(hits, frequencies, "term", F.col("id"), small).select(
-        "id", "term", bm25(F.col("tf"), F.col("df"), F.col("n_words"), totals["n"], totals["avg_words"])
+        "id", "term", weight.alias("weight")
     )
     # one exchange brings the words of a text together, the per-query sums reuse it
     scored = (
@@ -308,7 +349,7 @@ def keyword_topk(
 def bm25(tf: Column, df: Column, n_words: Column, n_texts: Column, avg_words: Column) -> Column:
     idf = F.log(1 + (n_texts - df + 0.5) / (df + 0.5))
     norm = BM25_K1 * (1 - BM25_B + BM25_B * n_words / avg_words)
-    return (idf * tf * (BM25_K1 + 1) / (tf + norm)).alias("weight")
+    return idf * tf * (BM25_K1 + 1) / (tf + norm)
 
 
 # --- both ---------------------------------------------------------------------------------------

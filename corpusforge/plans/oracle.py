@@ -345,6 +345,7 @@ visited AS (
 )
 SELECT qid, id, score, rank FROM ({_top('visited', 10)})""",
         "keyword_topk": f"WITH {BM25} SELECT qid, id, score, rank FROM ({_top('bm25', 10)})",
+        "keyword_topk_indexed": f"WITH {BM25} SELECT qid, id, score, rank FROM ({_top('bm25', 10)})",
         "hybrid_topk": f"""WITH {VECTOR_SCORES}, {BM25},
 linked AS (SELECT s.* FROM vector_scores s JOIN documents ON doc_id = id),
 votes AS (

@@ -277,6 +277,19 @@ def keyword_topk(t: Tables) -> DataFrame:
     return S.keyword_topk(si.queries(t).select("qid", "text"), docs, 10, id="doc_id")
 
 
+@query
+def keyword_topk_indexed(t: Tables) -> DataFrame:
+    """The keyword search again, on a word index written before."""
+    folder = shared_folder(t.spark, "word-index")
+    docs = si.documents(t, "text")
+    # rebalancing splits the bucket of a frequent word into files of even size
+    index = S.word_index(docs, "doc_id").hint("rebalance", "bucket")
+    index.write.partitionBy("bucket").parquet(f"{folder}/words")
+    S.corpus_totals(docs).write.parquet(f"{folder}/totals")
+    stored = [t.spark.read.parquet(f"{folder}/{part}") for part in ("words", "totals")]
+    return S.indexed_topk(si.queries(t).select("qid", "text"), *stored, 10)
+
+
 @query
 def hybrid_topk(t: Tables) -> DataFrame:
     corpus = si.corpus(t).select("doc_id", "source", "text", "embedding")

@@ -40,7 +40,10 @@ def overwrite(
     spark = df.sparkSession
     staging = f"{name}__next"
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    # rebalancing keeps the files of a partition few, and splits a hot partition
+    writer = df.hint("rebalance", *partition_by).write if partition_by else df.write
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if bucket_by:
         writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
     writer.saveAsTable(staging)

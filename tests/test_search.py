@@ -126,6 +126,19 @@ def test_keyword_topk_without_broadcast(spark, texts, monkeypatch):
     assert ranked(S.keyword_topk(q, d, 6)) == bm25(*texts, 6)
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_indexed_search_equals_the_scan(spark, texts, tmp_path, monkeypatch, broadcast):
+    q, d = text_frames(spark, texts)
+    S.word_index(d).write.partitionBy("bucket").parquet(str(tmp_path / "words"))
+    S.corpus_totals(d).write.parquet(str(tmp_path / "totals"))
+    index, totals = (spark.read.parquet(str(tmp_path / n)) for n in ("words", "totals"))
+    monkeypatch.setattr(S, "fits", lambda df: broadcast)
+    found = S.indexed_topk(q, index, totals, 6)
+    assert ranked(found) == bm25(*texts, 6)
+    if broadcast:
+        assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_fusion(spark):
     a = spark.createDataFrame([(0, "x", 1), (0, "y", 2)], "qid int, id string, rank int")
     b = spark.createDataFrame([(0, "y", 1), (0, "z", 2)], "qid int, id string, rank int")

@@ -103,6 +103,12 @@ def test_overwrite_reads_the_table_it_replaces(spark):
     assert rows(spark.table("t_over")) == [(1, "a")]
 
 
+def test_overwrite_partitions(spark):
+    TB.overwrite(spark.createDataFrame([(1, "a"), (2, "b")], KV), "t_part", partition_by=["k"])
+    plan = spark.table("t_part").filter("k = 2")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(k" in plan and spark.table("t_part").count() == 2
+
+
 def test_insert_new_is_repeatable(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], KV)
     for _ in range(2):
