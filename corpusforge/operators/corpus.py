@@ -30,7 +30,7 @@ def explode_chunks(
 
 def pages_for_keys(pages: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """One page per wanted key; a key without a page is dropped."""
-    return pages.join(keys.select(key), key, "left_semi")
+    return pages.join(keys.select(key).distinct(), key, "left_semi")
 
 
 def section_chunks(

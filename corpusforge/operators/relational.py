@@ -129,40 +129,53 @@ def winner_parts(
     inside a year, by a hash of the entry, into parts 1, 2, ...: reading them in order gives every entry
     once and in year order, and no task ever holds all entries of a hot entity.
     """
-    won = entries.filter(F.col("final_place") == 1).select(
-        F.col(entity).alias("entity"), *WINNER_FIELDS
+    # copies of one entry are counted and not shuffled one by one
+    won = (
+        entries.filter(F.col("final_place") == 1)
+        .groupBy(F.col(entity).alias("entity"), *WINNER_FIELDS)
+        .agg(F.count("*").alias("copies"))
     )
-    by_year = won.groupBy("entity", "year").agg(F.count("*").alias("n"))
+    by_year = won.groupBy("entity", "year").agg(F.sum("copies").alias("n"))
     per_entity = Window.partitionBy("entity")
-    parts = F.ceil(F.col("n") / per_part).cast("long")
+    earlier = per_entity.orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
     layout = (
         by_year.withColumn("_total", F.sum("n").over(per_entity))
-        .withColumn("_parts", parts)
-        .withColumn(
-            "_offset",
-            F.sum("_parts").over(
-                per_entity.orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
-            ),
+        .withColumn("_parts", F.ceil(F.col("n") / per_part).cast("long"))
+        .select(
+            F.col("entity").alias("_entity"),
+            F.col("year").alias("_year"),
+            "_total",
+            "_parts",
+            F.coalesce(F.sum("_parts").over(earlier), F.lit(0)).alias("_offset"),
         )
-        .select("entity", "year", "_total", "_parts", F.coalesce("_offset", F.lit(0)).alias("_offset"))
     )
-    bucket = F.pmod(F.xxhash64(*[F.col(f"w.{c}") for c in WINNER_FIELDS]), F.col("_parts"))
-    placed = won.alias("w").join(
-        layout.alias("l"),
-        F.col("w.entity").eqNullSafe(F.col("l.entity"))
-        & F.col("w.year").eqNullSafe(F.col("l.year")),
+    placed = won.join(
+        layout,
+        F.col("entity").eqNullSafe(F.col("_entity")) & F.col("year").eqNullSafe(F.col("_year")),
+    )
+    # very many copies are dealt out as well, in packs of per_part
+    packs = F.call_function("div", F.col("copies") - 1, F.lit(per_part))
+    packed = placed.withColumn("_pack", F.explode(F.sequence(F.lit(0).cast("long"), packs))).withColumn(
+        "copies", F.least(F.lit(per_part), F.col("copies") - F.col("_pack") * per_part)
+    )
+    bucket = F.pmod(F.xxhash64(*WINNER_FIELDS, "_pack"), F.col("_parts"))
+    part = F.when(F.col("_total") <= per_part, F.lit(0).cast("long")).otherwise(
+        1 + F.col("_offset") + bucket
+    )
+    entry = F.struct(*WINNER_FIELDS)
+    packs_in_order = F.array_sort(
+        F.collect_list(F.struct(entry.alias("entry"), F.col("copies").cast("int").alias("copies")))
     )
     return (
-        placed.select(
-            "w.*",
-            F.when(F.col("_total") <= per_part, F.lit(0).cast("long"))
-            .otherwise(1 + F.col("_offset") + bucket)
-            .alias("part"),
-        )
-        .groupBy("entity", "part")
-        .agg(
-            F.count("*").alias("n_winners"),
-            F.array_sort(F.collect_list(F.struct(*WINNER_FIELDS))).alias("winning_entries"),
+        packed.groupBy("entity", part.alias("part"))
+        .agg(F.sum("copies").alias("n_winners"), packs_in_order.alias("_packs"))
+        .select(
+            "entity",
+            "part",
+            "n_winners",
+            F.flatten(
+                F.transform("_packs", lambda p: F.array_repeat(p["entry"], p["copies"]))
+            ).alias("winning_entries"),
         )
     )
 

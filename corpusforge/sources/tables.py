@@ -49,6 +49,9 @@ def overwrite(
     writer.saveAsTable(staging)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    if partition_by:
+        # some catalogs keep the partition paths of the old name
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
 
 
 def widen(df: DataFrame, name: str) -> DataFrame:

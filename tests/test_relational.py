@@ -123,6 +123,18 @@ def test_a_hot_entity_is_split_and_stays_whole(spark):
     assert [r["part"] for r in parts if r["entity"] == "Cold"] == [0]
 
 
+def test_copies_of_an_entry_are_split_and_stay_whole(spark):
+    copies = [(2000, "Hot", "same", "x", "en", "pop", 1)] * 500
+    others = [(2000, "Hot", "other", "x", "en", "pop", 1), (1999, "Hot", None, "x", "en", "pop", 1)]
+    parts = R.winner_parts(entries(spark, copies + others), per_part=50).orderBy("part").collect()
+    assert len(parts) > 3 and max(r["n_winners"] for r in parts) < 300
+    songs = [w["song_name"] for r in parts for w in r["winning_entries"]]
+    assert songs[0] is None and songs.count("same") == 500 and songs.count("other") == 1
+    assert sum(r["n_winners"] for r in parts) == 502 == len(songs)
+    small = R.winner_parts(entries(spark, copies[:3] + others)).collect()
+    assert [w["song_name"] for w in small[0]["winning_entries"]] == [None, "other", "same", "same", "same"]
+
+
 def test_a_hot_summary_reads_like_the_whole_one(spark):
     df = entries(spark, hot_rows())
     whole = {r["chunk_id"]: r["text"] for r in R.entity_summary(df).collect()}
