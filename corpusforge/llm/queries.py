@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusforge.llm import neardup
+from corpusforge.llm import mixing, neardup, packing, quality, substrings
 
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -24,6 +24,35 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary file of the contract; it stays where it is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 @query
 def op1_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"), width=4)
+
+
+@query
+def op2_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op8_subset_sum_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query
+def op9_relative_lz_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substrings.remove_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op10_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), tokenizer_path())
