@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusforge.llm import mixing, neardup, packing, quality, substrings
+from corpusforge.llm import fingerprints, mixing, neardup, packing, quality, substrings, warc
 
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -56,3 +56,13 @@ def op9_relative_lz_substrings(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path())
+
+
+@query
+def op3_lz_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, folder, "documents"))
+
+
+@query
+def op6_warc_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))
