@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusforge.llm import fingerprints, mixing, neardup, packing, quality, substrings, warc
+from corpusforge.llm import fingerprints, mixing, neardup, packing, quality, substrings, vectors, warc
 
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -66,3 +66,8 @@ def op3_lz_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_warc_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
+
+
+@query
+def op4_pq_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
