@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ from corpusforge.llm.storage import stored
 LENGTH = 1024
 WINDOW_SEQUENCES = 64
 MAX_QUEUES = 65_536
-CACHED_CHUNKS = 1_000_000
+CACHED_CHUNKS = 1_500_000
 END = 0
 
 Batches = Iterator[pa.RecordBatch]
@@ -51,29 +53,23 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Token ids of many texts; chunks are encoded by the tokenizer once and looked up by hash afterwards."""
+    """Token ids of many texts. Each distinct chunk goes through the tokenizer; up to ``CACHED_CHUNKS`` are remembered."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.clear()
-
-    def clear(self) -> None:
         self.keys, self.at = np.empty(0, np.uint64), np.empty(0, np.int64)
         self.sizes, self.ids = np.empty(0, np.int64), np.empty(0, np.uint32)
 
-    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        if len(self.keys) + len(keys) > CACHED_CHUNKS:
-            self.clear()
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        at = len(self.ids) + np.r_[0, np.cumsum(sizes)[:-1]].astype(np.int64)
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))])
-        order = np.argsort(every := np.concatenate([self.keys, keys]), kind="stable")
-        self.keys = every[order]
-        self.at, self.sizes = np.concatenate([self.at, at])[order], np.concatenate([self.sizes, sizes])[order]
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        sizes, ids = [np.empty(0, np.int64)], [np.empty(0, np.uint32)]
+        for low in range(0, len(texts), 8192):
+            found = [x.ids for x in self.tokenizer.encode_batch_fast(texts[low : low + 8192], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
+        return np.concatenate(sizes), np.concatenate(ids)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, first id of each text and one more), without end tokens."""
@@ -84,28 +80,38 @@ class Encoder:
         known = np.zeros(len(keys), bool)
         inside = place < len(self.keys)
         known[inside] = self.keys[place[inside]] == keys[inside]
-        if not known.all():
-            fresh = keys if len(self.keys) + (~known).sum() > CACHED_CHUNKS else keys[~known]
-            spans = where if len(fresh) == len(keys) else where[~known]
-            raw = data.tobytes()
-            if len(fresh) == len(keys):
-                self.clear()
-            self._learn(fresh, [raw[starts[k] : ends[k]].decode("utf-8") for k in spans])
-            place = np.searchsorted(self.keys, keys)
-        at, sizes = self.at[place][inverse], self.sizes[place][inverse]
+        raw = data.tobytes()
+        fresh = ~known
+        new_sizes, new_ids = self._encoded([raw[starts[k] : ends[k]].decode("utf-8") for k in where[fresh]])
+        ids = np.concatenate([self.ids, new_ids])
+        sizes, at = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
+        sizes[known], at[known] = self.sizes[place[known]], self.at[place[known]]
+        new_at = len(self.ids) + np.cumsum(new_sizes) - new_sizes
+        sizes[fresh], at[fresh] = new_sizes, new_at
+        if len(self.keys) + len(new_at) <= CACHED_CHUNKS:
+            spot = place[fresh]
+            self.keys, self.ids = np.insert(self.keys, spot, keys[fresh]), ids
+            self.at, self.sizes = np.insert(self.at, spot, new_at), np.insert(self.sizes, spot, new_sizes)
+        at, sizes = at[inverse], sizes[inverse]
         sums = np.r_[0, np.cumsum(sizes)]
-        flat = self.ids[np.repeat(at - sums[:-1], sizes) + np.arange(sums[-1])]
+        flat = ids[np.repeat(at - sums[:-1], sizes) + np.arange(sums[-1])]
         return flat, sums[np.searchsorted(starts, offsets)]
 
 
+@cache
+def encoder(path: str) -> Encoder:
+    """One encoder per worker process, so that tasks share what was learnt."""
+    return Encoder(path)
+
+
 def tokenize(path: str) -> Callable[[Batches], Batches]:
     """(part, doc_id, source, at, n, ids): ``at`` counts the tokens of the source before it in this task."""
 
     def run(batches: Batches) -> Batches:
-        encoder, part, seen = Encoder(path), TaskContext.get().partitionId(), {}
+        part, seen = TaskContext.get().partitionId(), {}
         for batch in batches:
             for low, high, data, offsets in wa.slices(batch.column(2)):
-                flat, first = encoder.encode(data, offsets)
+                flat, first = encoder(path).encode(data, offsets)
                 rows, sources = [], batch.column(1).slice(low, high - low)
                 sizes, at = np.diff(first) + 1, []
                 for k, source in enumerate(sources.to_pylist()):

@@ -14,7 +14,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 WHITE = np.zeros(256, dtype=bool)
@@ -52,7 +52,7 @@ def _power_block(log2: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse modulo 2**64, at least ``n`` of them."""
-    return _power_block(max(int(n).bit_length(), 22))
+    return _power_block(max(int(n).bit_length(), 21))
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = False) -> np.ndarray:
