@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusforge.llm import fingerprints, mixing, neardup, packing, quality, substrings, vectors, warc
+from corpusforge.llm import (
+    extraction,
+    fingerprints,
+    mixing,
+    neardup,
+    packing,
+    quality,
+    substrings,
+    toxicity,
+    vectors,
+    warc,
+)
 
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -71,3 +82,13 @@ def op6_warc_chunks(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_pq_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query
+def op5_crf_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op7_max_subsequence(spark: SparkSession, folder: str) -> DataFrame:
+    return extraction.main_texts(table(spark, folder, "pages"))
