@@ -30,7 +30,7 @@ from corpusforge.llm.storage import components, stored
 BANDS, ROWS = 32, 4
 COARSE = BANDS * ROWS
 FINE, BATCH = 1024, 64
-BLOCK = 1024
+BLOCK = 512
 FEW = 16  # buckets of so few members are compared pair by pair, larger ones block by block
 
 Batches = Iterator[pa.RecordBatch]
@@ -146,8 +146,8 @@ def full_sets(width: int) -> Callable[[Batches], Batches]:
                 sets = [x for x in shingle_sets(data, offsets, width) if len(x)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([f(x) for x in sets], pa.binary())
-                     for f in (set_key, np.ndarray.tobytes, fine_signature)],
-                    ["key", "shingles", "fine"],
+                     for f in (set_key, np.ndarray.tobytes, coarse_signature, fine_signature)],
+                    ["key", "shingles", "signature", "fine"],
                 )
 
     return run
@@ -166,6 +166,11 @@ def likely(cut: np.ndarray) -> Callable[[Batches], Batches]:
     return run
 
 
+def linked(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(left, right, assume_unique=True))
+    return 100 * both >= percent * (len(left) + len(right) - both)
+
+
 def verified(percent: int) -> Callable[[Batches], Batches]:
     """Of pairs (a, b, shingles_a, shingles_b) those whose sets reach the threshold."""
 
@@ -174,16 +179,15 @@ def verified(percent: int) -> Callable[[Batches], Batches]:
             good = []
             for k in range(batch.num_rows):
                 left, right = (np.frombuffer(batch.column(c)[k].as_py(), np.uint64) for c in (2, 3))
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                if 100 * both >= percent * (len(left) + len(right) - both):
+                if linked(left, right, percent):
                     good.append(k)
             yield batch.select([0, 1]).take(pa.array(good, pa.int64()))
 
     return run
 
 
-def block_pairs(cut: np.ndarray) -> Callable[[pa.Table], pa.Table]:
-    """Likely pairs between the two sides of one block of a bucket, across components only."""
+def block_links(cut: np.ndarray, percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Links between the two sides of one block of a bucket, across components only, as many as connect them."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -194,6 +198,7 @@ def block_pairs(cut: np.ndarray) -> Callable[[pa.Table], pa.Table]:
         labels = np.unique(np.array([x for x in table["label"].to_pylist()], object), return_inverse=True)[1]
         coarse = bytes_matrix(table["signature"].combine_chunks(), np.uint64, BANDS)
         fine = bytes_matrix(table["fine"].combine_chunks(), np.uint8, FINE)
+        sets = table["shingles"].combine_chunks()
         rows = np.flatnonzero(~side)
         cols = rows if inner else np.flatnonzero(side)
         found: tuple[list, list] = ([], [])
@@ -207,8 +212,11 @@ def block_pairs(cut: np.ndarray) -> Callable[[pa.Table], pa.Table]:
             i, j = np.nonzero(open_)
             i, j = some[i], cols[j]
             alive = survivors(fine, fine, i, j, cut)
-            found[0].extend(keys[i[alive]])
-            found[1].extend(keys[j[alive]])
+            for x, y in zip(i[alive].tolist(), j[alive].tolist(), strict=True):
+                if labels[x] != labels[y] and linked(*(np.frombuffer(sets[k].as_py(), np.uint64) for k in (x, y)), percent):
+                    labels[labels == labels[y]] = labels[x]
+                    found[0].append(keys[x])
+                    found[1].append(keys[y])
         return pa.table({"a": pa.array(found[0], pa.binary()), "b": pa.array(found[1], pa.binary())})
 
     return run
@@ -281,7 +289,7 @@ def class_links(
     found = texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = stored(
         found.select("text")
-        .mapInArrow(full_sets(width), "key binary, shingles binary, fine binary")
+        .mapInArrow(full_sets(width), "key binary, shingles binary, signature binary, fine binary")
         .join(wanted.select("key"), "key", "left_semi")
         .dropDuplicates(["key"]),
         "sets",
@@ -327,7 +335,7 @@ def class_links(
     tasks = sides.withColumn("t", F.explode(F.when(F.col("right"), as_main).otherwise(as_left))).select(
         "bucket", "band", "key", "label", "t.i", "t.j", "t.inner", "t.right"
     )
-    rows = tasks.join(sets.select("key", "fine"), "key").join(classes.select("key", "signature"), "key")
-    more = rows.groupBy("bucket", "i", "j").applyInArrow(block_pairs(cut), pair_schema)
-    second = stored(links_of(crossing.union(more).distinct()), "verified")
+    rows = tasks.join(sets, "key")
+    more = rows.groupBy("bucket", "i", "j").applyInArrow(block_links(cut, percent), pair_schema)
+    second = stored(links_of(crossing).union(more), "verified")
     return first.union(second)
