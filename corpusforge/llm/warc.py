@@ -164,8 +164,11 @@ def read_records(batches: Batches) -> Batches:
             yield pa.RecordBatch.from_pylist([dict(zip(_CHUNKS.names, r, strict=True)) for r in rows], _CHUNKS)
 
 
-def record_plan(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
-    """(page_id, url, html, payload_bytes, digest, refers_to) of each page. Only ids and digests meet by digest."""
+def record_plan(pages: DataFrame, least: int = LEAST_REVISIT, partitions: int | None = None) -> DataFrame:
+    """(page_id, url, html, payload_bytes, digest, refers_to) of each page. Only ids and digests meet by digest.
+
+    Pages are dealt into ``partitions`` by digest and id, so that the join with their targets moves payloads once.
+    """
     own = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.coalesce("html", F.lit("")).alias("html"),
@@ -177,8 +180,13 @@ def record_plan(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     first = narrow.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1")
     again = narrow.join(first, "digest").filter(~F.col("page_id").eqNullSafe(F.col("first_id")))
     again = again.select("page_id", "digest", F.col("first_id").alias("refers_to")).distinct()
-    same = F.col("p.page_id").eqNullSafe(F.col("a.page_id")) & (F.col("p.digest") == F.col("a.digest"))
-    joined = sized.alias("p").join(again.alias("a"), same, "left")
+    # the digest alone stands for a null page_id, which never has more than one target
+    name = F.concat_ws("/", "digest", "page_id")
+    named = sized.withColumn("name", name)
+    if partitions:
+        named = named.repartition(partitions, "name")
+    again = again.select(name.alias("name"), "refers_to")
+    joined = named.alias("p").join(again.alias("a"), "name", "left")
     return joined.select(
         "p.page_id", "p.url", F.when(F.col("a.refers_to").isNull(), F.col("p.html")).alias("html"),
         "p.payload_bytes", "p.digest", "a.refers_to",
@@ -195,8 +203,7 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST_REVISIT) -> N
     total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
     spark = pages.sparkSession
     archives = max(1, -(-total // ARCHIVE_BYTES), spark.sparkContext.defaultParallelism)
-    planned = record_plan(pages, least).repartition(archives)
-    lines = planned.mapInArrow(write_records, "value string")
+    lines = record_plan(pages, least, archives).mapInArrow(write_records, "value string")
     lines.write.option("lineSep", CRLF).option("compression", "gzip").text(path)
 
 
