@@ -22,6 +22,7 @@ from corpusforge.llm import wordarrays as wa
 
 TRAIN_ROWS = 20_000  # labelled documents that models are fitted on, the smallest by a seeded hash
 CHAINS = 20_000  # sentences that the field is fitted on
+CLEAN_CHAINS, CLEAN_TOKENS = 3, 500  # sentences without marks that a labelled document gives, and their longest
 PREFIXES = (8, 7, 6, 5, 4)  # bytes of beginnings, in the order of preference behind whole words
 WORDS = 20_000  # marked words at most, the most telling ones
 LEAST_DOCS, CHANCE = 4, 1e-5
@@ -197,8 +198,28 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> np.ndarray:
     return beta
 
 
-def chains_of(words: np.ndarray) -> Callable[[Batches], Batches]:
-    """Word numbers and sentence numbers of labelled documents, as runs of bytes: (toxic, numbers, chains)."""
+def chosen_chains(number: np.ndarray, chain: np.ndarray, doc: np.ndarray, seed: int) -> np.ndarray:
+    """Whether each token's sentence goes into the fit: all with marks, and a few others of each document by a seeded hash."""
+    if not len(chain):
+        return np.zeros(0, bool)
+    size = np.bincount(chain)
+    begins = np.r_[0, np.cumsum(size)[:-1]]
+    marked = np.bincount(chain[number > 0], minlength=len(size)) > 0
+    fit = np.flatnonzero(~marked & (size <= CLEAN_TOKENS))
+    nth = fit - chain[np.searchsorted(doc, doc[begins[fit]])]  # in its document
+    draw = wa.mix(nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
+    fit = fit[np.lexsort((draw, doc[begins[fit]]))]
+    owner = doc[begins[fit]]
+    nth = np.arange(len(fit)) - np.searchsorted(owner, owner)
+    marked[fit[nth < CLEAN_CHAINS]] = True
+    return marked[chain]
+
+
+def chains_of(words: np.ndarray, seed: int) -> Callable[[Batches], Batches]:
+    """Word numbers and sentence numbers of labelled documents, as runs of bytes: (toxic, size, numbers, chains).
+
+    Tokens of sentences that the fit can do without stay in the task: without marks they add nothing to a score.
+    """
 
     def run(batches: Batches) -> Batches:
         field = Field(words, np.zeros(0), np.zeros((2, 2)), np.zeros(FEATURES))
@@ -207,11 +228,18 @@ def chains_of(words: np.ndarray) -> Callable[[Batches], Batches]:
             for low, high, data, offsets in wa.slices(batch.column(0)):
                 found = tokens_of(data, offsets)
                 number = field.number(found).astype(np.int32)
-                cut = [slice(found.first[k], found.first[k + 1]) for k in range(high - low)]
+                size = np.diff(found.first)
+                doc = np.repeat(np.arange(high - low), size)
+                chosen = chosen_chains(number, found.chain, doc, seed)
+                chain = found.chain - found.chain[np.searchsorted(doc, doc)] if len(doc) else found.chain
+                number, chain = number[chosen], chain[chosen].astype(np.int32)
+                first = np.searchsorted(doc[chosen], np.arange(high - low + 1))
+                cut = [slice(first[k], first[k + 1]) for k in range(high - low)]
                 yield pa.RecordBatch.from_arrays(
-                    [toxic.slice(low, high - low), pa.array([number[c].tobytes() for c in cut], pa.binary()),
-                     pa.array([found.chain[c].astype(np.int32).tobytes() for c in cut], pa.binary())],
-                    ["toxic", "numbers", "chains"],
+                    [toxic.slice(low, high - low), pa.array(size.astype(np.int64)),
+                     pa.array([number[c].tobytes() for c in cut], pa.binary()),
+                     pa.array([chain[c].tobytes() for c in cut], pa.binary())],
+                    ["toxic", "size", "numbers", "chains"],
                 )
 
     return run
@@ -280,13 +308,14 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 29) -> Field:
     top = telling.orderBy(F.desc("toxic"), "word").limit(WORDS).toArrow()
     keys, clean, toxic = (top[c].to_numpy() for c in ("word", "clean", "toxic"))
     words = np.sort(keys[surely_marked(clean, toxic, share)].view(np.uint64))
-    found = sample.mapInArrow(chains_of(words), "toxic int, numbers binary, chains binary").toArrow()
+    found = sample.mapInArrow(chains_of(words, seed), "toxic int, size long, numbers binary, chains binary")
+    found = found.orderBy("toxic", "size", F.xxhash64("numbers", "chains")).toArrow()
     label = found["toxic"].to_numpy()
     number = [np.frombuffer(x, np.int32) for x in found["numbers"].to_pylist()]
     chain, base = [], 0
     for x in found["chains"].to_pylist():
         own = np.frombuffer(x, np.int32)
-        own = own - own[0] + base if len(own) else own
+        own = np.cumsum(np.r_[False, own[1:] != own[:-1]]) + base if len(own) else own
         base = int(own[-1]) + 1 if len(own) else base
         chain.append(own)
     doc = np.repeat(np.arange(len(label)), [len(x) for x in number])
@@ -301,7 +330,7 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 29) -> Field:
     some = chosen[chain]
     field = fit_field(number[some], chain[some], tag[some], words)
     _, total, most = document_sums(field, number, chain, doc, len(label))
-    size = np.bincount(doc, minlength=len(label))
+    size = found["size"].to_numpy()
     field.logistic = fit_logistic(features(total, most, size), (label == 1).astype(float))
     return field
 
