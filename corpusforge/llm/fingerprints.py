@@ -24,7 +24,7 @@ from corpusforge.llm.storage import stored
 HASHES = 128
 EMPTY = "-" * (4 * HASHES)
 RESULT = (
-    "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
     "near_edited double, near_next double"
 )
 
@@ -54,8 +54,12 @@ class Parse:
 
     def fingerprint(self, text: str) -> str:
         """Minimum hashes as hexadecimal digits; a text without phrases has digits that no other has."""
+        return self.minima(text).hex() or EMPTY
+
+    def minima(self, text: str) -> bytes:
+        """Minimum hashes, two bytes each; none for a text without phrases."""
         if not self.ends:
-            return EMPTY
+            return b""
         ends = np.array(self.ends, np.int64)
         starts = np.r_[0, ends[:-1]]
         codes = np.frombuffer(text[: int(ends[-1])].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
@@ -63,14 +67,18 @@ class Parse:
         sums = np.zeros(len(codes) + 1, np.uint64)
         np.cumsum(wa.mix(codes + np.uint64(1)) * up[: len(codes)], out=sums[1:])
         hashes = wa.mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-        return min_hashes(hashes, HASHES, 31).astype(">u2").tobytes().hex()
+        return min_hashes(hashes, HASHES, 31).astype(">u2").tobytes()
 
 
 def likeness(a: str, b: str) -> float:
     """Share of equal minimum hashes; nothing is like a text without phrases but another one."""
-    if EMPTY in (a, b):
+    return alike(*(b"" if x == EMPTY else bytes.fromhex(x) for x in (a, b)))
+
+
+def alike(a: bytes, b: bytes) -> float:
+    if not a or not b:
         return float(a == b)
-    left, right = (np.frombuffer(bytes.fromhex(x), np.uint16) for x in (a, b))
+    left, right = (np.frombuffer(x, np.uint16) for x in (a, b))
     return float((left == right).mean())
 
 
@@ -82,15 +90,15 @@ class Document:
     def __post_init__(self) -> None:
         self.cut = len(self.text) - len(self.text) // 4
         self.head = Parse().run(self.text, self.cut)
-        self.own = self.head.fork().run(self.text, len(self.text)).fingerprint(self.text)
+        self.own = self.head.fork().run(self.text, len(self.text)).minima(self.text)
 
     def against(self, follower: Document) -> tuple:
         edited = self.text[: self.cut] + follower.text[: len(self.text) - self.cut]
-        other = self.head.run(edited, len(edited)).fingerprint(edited)
+        other = self.head.run(edited, len(edited)).minima(edited)
         digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
         return (
-            self.doc_id, len(self.text), digest, self.own, other, likeness(self.own, other),
-            likeness(self.own, follower.own),
+            self.doc_id, len(self.text), digest, self.own, other, alike(self.own, other),
+            alike(self.own, follower.own),
         )
 
 
@@ -100,8 +108,8 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 _RESULT_TYPES = [
-    ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
-    ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
+    ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.binary()),
+    ("edited_fingerprint", pa.binary()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
 ]
 _EDGE_TYPES = [
     ("part", pa.int32()), ("first_id", None), ("first_text", pa.string()), ("last_text", pa.string()),
@@ -143,7 +151,7 @@ def fingerprint_documents(docs: DataFrame, id_column: str = "doc_id", text_colum
     """One row per row of ``docs``: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text has its last quarter replaced by the beginning of the next document by id, the last document's by
-    that of the first. Null texts count as empty. Rows of one id follow each other in the order of their texts, rows without id
+    that of the first. Fingerprints are hexadecimal digits, those of texts without phrases are dashes. Null texts count as empty. Rows of one id follow each other in the order of their texts, rows without id
     come first. A single row follows itself. No rows give no rows.
     """
     spark = docs.sparkSession
@@ -168,4 +176,8 @@ def fingerprint_documents(docs: DataFrame, id_column: str = "doc_id", text_colum
     followers = edges.select(F.col("part").alias("next"), F.col("first_text").alias("follower"))
     last = edges.join(ring, "part").join(followers, "next").select("doc_id", "last_text", "follower")
     columns = ["doc_id", *[n for n, _ in _RESULT_TYPES]]
-    return done.filter("part is null").select(columns).union(last.mapInArrow(across, f"doc_id {id_type}, {RESULT}"))
+    rows = done.filter("part is null").select(columns).union(last.mapInArrow(across, f"doc_id {id_type}, {RESULT}"))
+    for name in ("fingerprint", "edited_fingerprint"):
+        digits = F.when(F.length(name) == 0, F.lit(EMPTY)).otherwise(F.lower(F.hex(name)))
+        rows = rows.withColumn(name, digits)
+    return rows
