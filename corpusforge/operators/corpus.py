@@ -139,7 +139,7 @@ def unique_ids(chunks: DataFrame, key: str = "id", text: str = "text") -> DataFr
     """
     colliding = sized(duplicate_ids(chunks, key).select(key))
     apart = chunks.join(colliding, key, "left_semi").withColumn(
-        key, F.concat_ws("_", key, F.left(F.sha2(text, 256), F.lit(16)))
+        key, F.concat_ws("_", key, F.sha2(text, 256))
     )
     alone = chunks.join(colliding, key, "left_anti")
     return alone.unionByName(apart.dropDuplicates([key]))

@@ -380,9 +380,10 @@ def search(
 ) -> DataFrame:
     """Search a corpus with ``(qid, text, embedding)`` queries, hybrid or semantic only (``ann``).
 
-    Returns the asked-for corpus columns next to query, score and rank. ``depth`` is the length of the two
-    rankings that a hybrid search fuses.
+    Returns the asked-for corpus columns next to query, score and rank. A hybrid search fuses two rankings of
+    ``depth`` hits, or of ``num_results`` where more are asked for.
     """
+    depth = max(depth, num_results)
     if query_type == "ann":
         found = vector_topk(queries, corpus, num_results, filters, "qid", id, vector)
     elif query_type == "hybrid":

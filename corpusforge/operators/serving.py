@@ -40,15 +40,14 @@ def lookup_with_fallback(requests: DataFrame, summaries: DataFrame, name: str =
 
 
 def history_json(
-    summaries: DataFrame, year: int, n_documents: int, by: list[str] | None = None
+    summaries: DataFrame, year: int, digits: int = 2, by: list[str] | None = None
 ) -> DataFrame:
-    """All summaries as ``n_documents`` JSON documents per group: ``(document, n, json)``.
+    """All summaries as ``16 ** digits`` JSON documents per group: ``(document, n, json)``.
 
-    Rows are dealt out by a digest of their key, which is unique, so the documents are of even size and
-    their number, not the table, bounds what one task holds.
+    A row's document is named by the first hexadecimal digits of the digest of its key, so it never depends on how
+    many other rows there are. ``digits`` is the caller's to choose: a document is one row and one task holds it.
     """
-    digest = F.conv(F.substring(F.md5(F.concat_ws("/", "chunk_id", "part")), 1, 8), 16, 10)
-    document = F.pmod(digest.cast("long"), F.lit(n_documents)).alias("document")
+    document = F.left(F.md5(F.concat_ws("/", "chunk_id", "part")), F.lit(digits)).alias("document")
     item = F.struct(F.col("chunk_id").alias("country"), "part", F.col("text").alias("stat"))
     items = F.transform(
         F.array_sort(F.collect_list(item)), lambda i: F.struct(i["country"], i["stat"])
@@ -59,11 +58,6 @@ def history_json(
     )
 
 
-def documents_needed(summaries: DataFrame, per_document: int = 10_000) -> int:
-    """How many history documents keep each near ``per_document`` summaries."""
-    return max(1, -(-summaries.count() // per_document))
-
-
 def dispatch(requests: DataFrame, summaries: DataFrame) -> DataFrame:
     """Answers of tool requests ``(request_id, name, arguments)``: ``(request_id, tool, part, output)``.
 
@@ -72,18 +66,19 @@ def dispatch(requests: DataFrame, summaries: DataFrame) -> DataFrame:
     """
     parsed = requests.withColumn("_country", F.get_json_object("arguments", "$.country_name"))
     tool = F.col("name")
-    lookups = parsed.filter((tool == LOOKUP_TOOL) & F.col("_country").isNotNull())
+    is_lookup = tool.eqNullSafe(LOOKUP_TOOL) & F.col("_country").isNotNull()
+    lookups = parsed.filter(is_lookup)
     answered = lookup_with_fallback(lookups, summaries, "_country").select(
         "request_id", tool.alias("tool"), "part", F.col("json").alias("output")
     )
-    others = parsed.filter(~((tool == LOOKUP_TOOL) & F.col("_country").isNotNull()))
+    others = parsed.filter(~is_lookup)
     text = (
         F.when(tool == HISTORY_TOOL, F.lit("history_json"))
         .when(
             tool == LOOKUP_TOOL,
             F.lit(f"Tool error: {LOOKUP_TOOL}() missing 1 required positional argument: 'country_name'"),
         )
-        .otherwise(F.concat(F.lit("Unknown tool: "), tool))
+        .otherwise(F.concat(F.lit("Unknown tool: "), F.coalesce(tool, F.lit("None"))))
     )
     return answered.unionByName(
         others.select(

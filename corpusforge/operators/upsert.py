@@ -25,10 +25,11 @@ def row_hash(df: DataFrame, key: str) -> Column:
 
 
 def changed_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """``(key, _hash, _change_type)`` for every row version that exists on one side only.
+    """``(key, _hash, _change_type)`` for the row versions of every key whose versions differ between the sides.
 
-    Only keys and digests are shuffled, never the payload, and rows are counted rather than joined, so a key
-    with many copies costs its copies and not their square.
+    A version is present or absent, however many copies it has. A key that is on both sides gives its vanished
+    versions as preimages and all versions it has now as postimages, so that applying the feed loses none of them.
+    Only keys and digests are shuffled, never the payload, and versions are aggregated rather than joined.
     """
 
     def side(df: DataFrame, sign: int) -> DataFrame:
@@ -38,20 +39,20 @@ def changed_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
         side(old, -1)
         .unionByName(side(new, 1))
         .groupBy(key, "_hash")
-        .agg(F.sum("_side").alias("_delta"))
-        .filter(F.col("_delta") != 0)
+        .agg(F.bool_or(F.col("_side") > 0).alias("_now"), F.bool_or(F.col("_side") < 0).alias("_then"))
     )
     sides = versions.groupBy(F.col(key).alias("_key")).agg(
-        F.bool_or(F.col("_delta") > 0).alias("_in_new"), F.bool_or(F.col("_delta") < 0).alias("_in_old")
+        F.bool_or("_now").alias("_in_new"),
+        F.bool_or("_then").alias("_in_old"),
+        F.bool_or(F.col("_now") != F.col("_then")).alias("_touched"),
     )
-    gained = F.col("_delta") > 0
     both = F.col("_in_new") & F.col("_in_old")
-    return versions.join(sides, F.col(key).eqNullSafe(F.col("_key"))).select(
+    return versions.join(sides.filter("_touched"), F.col(key).eqNullSafe(F.col("_key"))).select(
         key,
         "_hash",
-        F.when(both & gained, "update_postimage")
+        F.when(both & F.col("_now"), "update_postimage")
         .when(both, "update_preimage")
-        .when(gained, "insert")
+        .when(F.col("_now"), "insert")
         .otherwise("delete")
         .alias("_change_type"),
     )

@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
-from corpusforge.functions.text import WHITESPACE
-from corpusforge.operators.answers import COUNTRY_TERMS
+# What counts as white space, and the terms of the country check.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+COUNTRY_TERMS = [
+    "norway", "sweden", "france", "uk", "united kingdom", "germany", "italy", "spain", "ireland", "finland", "ukraine",
+    "portugal", "australia", "denmark", "greece", "switzerland",
+]
 
 WS_CLASS = r"[\t\n\x0B\f\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 WORD_CLASS = r"[\p{L}\p{N}_]"
@@ -280,7 +287,7 @@ FROM pages WHERE page_id IN (SELECT user_id FROM events)""",
         "clean_text": f"""SELECT doc_id, {_clean("replace(text, 'tion', 'ti-' || chr(10) || ' on')")} AS text
 FROM documents""",
         "parse_elements": f"WITH {ELEMENTS} SELECT doc_id, chunk_id, content AS text FROM elements",
-        "broken_documents": """SELECT event_id, left(props, length(props) - 1) AS parsed_content
+        "broken_documents": """SELECT event_id, '<' || props AS parsed_content
 FROM events WHERE event_type = 'error'""",
         "props_extract": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
         "paper_chunks": f"""WITH {ELEMENTS}, {PAPERS}
@@ -301,6 +308,20 @@ FROM new LEFT JOIN old USING (doc_id) WHERE old.text IS DISTINCT FROM new.text
 UNION ALL
 SELECT old.doc_id, CASE WHEN new.doc_id IS NULL THEN 'delete' ELSE 'update_preimage' END, old.text
 FROM old LEFT JOIN new USING (doc_id) WHERE old.text IS DISTINCT FROM new.text""",
+        "change_feed_copies": f"""WITH {SNAPSHOTS},
+versions AS (
+  SELECT doc_id, text FROM old
+  UNION SELECT doc_id, text || chr(10) || '(second)' FROM old WHERE doc_id % 5 = 0
+),
+touched AS (
+  SELECT doc_id FROM (SELECT doc_id, text FROM versions EXCEPT SELECT doc_id, text FROM new)
+  UNION SELECT doc_id FROM (SELECT doc_id, text FROM new EXCEPT SELECT doc_id, text FROM versions)
+)
+SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM old) THEN 'update_postimage' ELSE 'insert' END AS change_type, text
+FROM new WHERE doc_id IN (SELECT doc_id FROM touched)
+UNION ALL
+SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM new) THEN 'update_preimage' ELSE 'delete' END, text
+FROM versions v WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.doc_id = v.doc_id AND n.text = v.text)""",
         "index_sync": f"WITH {SNAPSHOTS} SELECT doc_id, md5(text) AS text_hash FROM new",
         "seed_state": f"""WITH {SYNC}
 SELECT source_table, last_synced FROM state WHERE last_synced > {AS_OF}
@@ -353,6 +374,13 @@ votes AS (
 ),
 fused AS (SELECT qid, id, round(sum(1 / (60.0::DOUBLE + rank)), 9) AS score FROM votes GROUP BY qid, id)
 SELECT qid, doc_id, source, score, rank FROM ({_top('fused', 10)}) JOIN documents ON doc_id = id""",
+        "hybrid_deep": f"""WITH {VECTOR_SCORES}, {BM25},
+linked AS (SELECT s.* FROM vector_scores s JOIN documents ON doc_id = id),
+votes AS (
+  SELECT qid, id, rank FROM ({_top('linked', 80)}) UNION ALL SELECT qid, id, rank FROM ({_top('bm25', 80)})
+),
+fused AS (SELECT qid, id, round(sum(1 / (60.0::DOUBLE + rank)), 9) AS score FROM votes GROUP BY qid, id)
+SELECT qid, doc_id, source, score, rank FROM ({_top('fused', 80)}) JOIN documents ON doc_id = id""",
         "answer_checks": f"WITH {checks} SELECT * FROM checks",
         "evaluation_report": f"""WITH {checks}
 SELECT 'word_count_check' AS scorer, count(*) AS n, round(avg(word_count_check::INT), 6) AS mean FROM checks
@@ -370,11 +398,7 @@ SELECT name, text IS NOT NULL AS found, part,
        ELSE json_object('country', name, 'stats', text) END AS VARCHAR) AS json
 FROM requests LEFT JOIN summaries ON lower(replace(key, ' ', '_')) = chunk_id""",
         "history_json": f"""WITH {SUMMARIES},
-n_documents AS (SELECT CAST(ceil(count(*) / 500.0) AS BIGINT) AS n FROM part),
-dealt AS (
-  SELECT *, CAST('0x' || left(md5(chunk_id || '/' || part), 8) AS BIGINT) % n AS document
-  FROM summaries, n_documents
-)
+dealt AS (SELECT *, left(md5(chunk_id || '/' || part), 2) AS document FROM summaries)
 SELECT document, count(*) AS n, CAST(json_object('year', 2025, 'historical_data',
     to_json(list({{'country': chunk_id, 'stat': text}} ORDER BY chunk_id))) AS VARCHAR) AS json
 FROM dealt GROUP BY document""",
@@ -405,7 +429,7 @@ FROM conversations WHERE role = 'assistant' GROUP BY conv_id""",
        WHEN count(*) >= 10 THEN 'max_iterations' ELSE 'open' END AS outcome
 FROM conversations GROUP BY conv_id""",
         "csv_load": """SELECT l_orderkey AS orderkey, nullif(l_linenumber, 7) AS final_place,
-  l_returnflag AS language, l_extendedprice AS price FROM lineitem""",
+  'He said "hi", twice' || chr(10) || l_returnflag AS language, l_extendedprice AS price FROM lineitem""",
         "record_load": f"""WITH {PAPERS}
 SELECT arxiv_id, title, summary, authors, CAST(strftime(published, '%Y%m%d%H%M') AS BIGINT) AS published
 FROM papers""",

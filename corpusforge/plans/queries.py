@@ -26,7 +26,6 @@ from corpusforge.streaming import incremental as INC
 
 AS_OF = dt.datetime(2024, 7, 28, 23, 30, tzinfo=dt.UTC)
 HISTORY_YEAR = 2025
-SUMMARIES_PER_DOCUMENT = 500
 
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -137,8 +136,8 @@ def parse_elements(t: Tables) -> DataFrame:
 
 @query
 def broken_documents(t: Tables) -> DataFrame:
-    cut = F.left("props", F.length("props") - 1)
-    landed = F.when(F.col("event_type") == "error", cut).otherwise(F.col("props"))
+    junk = F.concat(F.lit("<"), "props")
+    landed = F.when(F.col("event_type") == "error", junk).otherwise(F.col("props"))
     events = t.events.select("event_id", landed.alias("parsed_content"))
     return C.broken_documents(events)
 
@@ -198,6 +197,18 @@ def change_feed(t: Tables) -> DataFrame:
     return feed.select("doc_id", F.col("_change_type").alias("change_type"), "text")
 
 
+@query
+def change_feed_copies(t: Tables) -> DataFrame:
+    """Snapshots in which rows repeat, and keys with several versions of which some stay."""
+    second = F.concat("text", F.lit("\n(second)"))
+    old = si.old_snapshot(t)
+    old = old.unionByName(old.filter("doc_id % 3 = 0")).unionByName(
+        old.filter("doc_id % 5 = 0").withColumn("text", second)
+    )
+    feed = U.change_feed(old, si.new_snapshot(t), "doc_id")
+    return feed.select("doc_id", F.col("_change_type").alias("change_type"), "text")
+
+
 @query
 def index_sync(t: Tables) -> DataFrame:
     def embed(df: DataFrame) -> DataFrame:
@@ -296,6 +307,13 @@ def hybrid_topk(t: Tables) -> DataFrame:
     return S.search(si.queries(t), corpus, ["doc_id", "source"], 10, id="doc_id")
 
 
+@query
+def hybrid_deep(t: Tables) -> DataFrame:
+    """More results than the usual depth of the fused rankings."""
+    corpus = si.corpus(t).select("doc_id", "source", "text", "embedding")
+    return S.search(si.queries(t), corpus, ["doc_id", "source"], 80, id="doc_id")
+
+
 @query
 def tfidf_embed(t: Tables) -> DataFrame:
     return S.tfidf_vectors(si.documents(t, "text")).select(
@@ -326,8 +344,7 @@ def lookup_with_fallback(t: Tables) -> DataFrame:
 @query
 def history_json(t: Tables) -> DataFrame:
     summaries = si.summaries(t)
-    n = V.documents_needed(t.part.select("p_partkey"), SUMMARIES_PER_DOCUMENT)
-    return V.history_json(summaries, HISTORY_YEAR, n)
+    return V.history_json(summaries, HISTORY_YEAR)
 
 
 @query
@@ -355,13 +372,14 @@ def conversation_outcome(t: Tables) -> DataFrame:
 
 @query
 def csv_load(t: Tables) -> DataFrame:
-    """Entries written as CSV with unreadable placements and read back with a declared schema."""
+    """Entries written as CSV with unreadable placements, quotes and line breaks, read back with a declared schema."""
     folder = shared_folder(t.spark, "entries-csv")
     place = F.when(F.col("l_linenumber") == 7, "DNF").otherwise(F.col("l_linenumber").cast("string"))
     t.lineitem.select(
         F.col("l_orderkey").alias("orderkey"), place.alias("final_place"),
-        F.col("l_returnflag").alias("language"), F.col("l_extendedprice").alias("price"),
-    ).write.csv(folder, header=True)
+        F.concat(F.lit('He said "hi", twice\n'), "l_returnflag").alias("language"),
+        F.col("l_extendedprice").alias("price"),
+    ).write.csv(folder, header=True, escape='"')
     schema = "orderkey LONG, final_place INT, language STRING, price DOUBLE"
     return files.read_csv(t.spark, folder, schema)
 
@@ -386,7 +404,8 @@ def binary_scan(t: Tables) -> DataFrame:
 @query
 def incremental_chunks(t: Tables) -> DataFrame:
     folder = shared_folder(t.spark, "incremental-chunks")
-    landed = INC.file_stream(t.spark, t.folder, DOCUMENT, "documents.parquet")
+    # the glob finds the table as one file and as a folder of part files
+    landed = INC.file_stream(t.spark, f"{t.folder}/documents.parque[t]", DOCUMENT)
     chunks = C.explode_chunks(landed.select("doc_id", "text"))
     INC.run_available(chunks, f"{folder}/chunks", f"{folder}/checkpoint")
     return t.spark.read.parquet(f"{folder}/chunks")

@@ -39,6 +39,7 @@ def overwrite(
     """
     spark = df.sparkSession
     staging = f"{name}__next"
+    recover(spark, name)
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
     # rebalancing keeps the files of a partition few, and splits a hot partition
     writer = df.hint("rebalance", *partition_by).write if partition_by else df.write
@@ -54,6 +55,13 @@ def overwrite(
         spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
 
 
+def recover(spark: SparkSession, name: str) -> None:
+    """Finish a replacement that died between dropping the old version and renaming the new one."""
+    staging = f"{name}__next"
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(staging):
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+
+
 def widen(df: DataFrame, name: str) -> DataFrame:
     """``df`` with the columns of the stored table that it lacks, as nulls."""
     spark = df.sparkSession

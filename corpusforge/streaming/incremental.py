@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 def file_stream(
     spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet"
 ) -> DataFrame:
-    """A stream of the parquet files that appear in a folder."""
+    """A stream of the parquet files that appear in a folder; ``folder`` may be a glob."""
     return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
 
 

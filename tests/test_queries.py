@@ -7,8 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from corpusforge.plans.oracle import statements
+from corpusforge.plans.queries import registry
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry(), statements()
 ROWS_ONLY = {"tfidf_embed", "binary_scan"}
 
 
