@@ -2,6 +2,91 @@
 
 from __future__ import annotations
 
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def components(links: str, nodes: str) -> str:
+    """CTE ``components`` (id, component_id) over a view of links (a, b) and one of nodes (id)."""
+    return f"""reach(id, other) AS (
+  SELECT id, id FROM {nodes}
+  UNION
+  SELECT r.id, CASE WHEN l.a = r.other THEN l.b ELSE l.a END FROM reach r JOIN {links} l ON r.other IN (l.a, l.b)
+),
+components AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)"""
+
+
+def near_documents() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '{WORD}') AS w FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))) END AS s
+  FROM words
+),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS gram FROM sets),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_, any_value(x.n) AS m, any_value(y.n) AS n
+  FROM grams x JOIN grams y ON x.gram = y.gram AND x.doc_id < y.doc_id AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+  GROUP BY x.doc_id, y.doc_id
+),
+links AS (SELECT a, b FROM pairs WHERE 100 * both_ >= 80 * (m + n - both_)),
+nodes AS (SELECT doc_id AS id FROM documents),
+{components("links", "nodes")}
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN components ON doc_id = id"""
+
+
+def near_vectors() -> str:
+    return f"""WITH RECURSIVE sound AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM sound x JOIN sound y ON x.vec_id < y.vec_id AND len(x.v) = len(y.v)
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.9
+),
+nodes AS (SELECT vec_id AS id FROM embeddings),
+{components("links", "nodes")},
+ends AS (SELECT id, count(*) AS n FROM (SELECT a AS id FROM links UNION ALL SELECT b FROM links) GROUP BY id)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN components c ON vec_id = c.id LEFT JOIN ends e ON vec_id = e.id"""
+
+
+def archives() -> str:
+    return """WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+),
+first AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to, TRUE AS intact
+FROM first"""
+
+
+def repeats() -> str:
+    return f"""WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i+19], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words)
+),
+again AS (SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY gram ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS j FROM again),
+flat AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM words),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS text FROM flat ANTI JOIN gone USING (doc_id, j)
+  GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)"""
+
 
 def statements() -> dict[str, str]:
-    return {}
+    return {
+        "op1_minhash_neardup": near_documents(),
+        "op4_pq_neardup": near_vectors(),
+        "op6_warc_chunks": archives(),
+        "op9_relative_lz_substrings": repeats(),
+    }
