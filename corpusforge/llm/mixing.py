@@ -123,7 +123,7 @@ def mix(
         F.col(id_column).alias("doc_id"), F.col(source_column).alias("source"), F.col(text_column).alias("text")
     )
     sizes = stored(
-        named.mapInArrow(count_words, f"doc_id {id_type}, source {source_type}, size long"), "sizes"
+        named.mapInArrow(wa.tidy(count_words), f"doc_id {id_type}, source {source_type}, size long"), "sizes"
     )
     targets = stored(source_targets(sizes, share, max_repeats, weights), "targets")
     lengths = sizes.groupBy("source", "size").agg(F.count("*").alias("n"))

@@ -243,7 +243,7 @@ def near_duplicates(
     id_type = docs.schema[id_column].dataType.simpleString()
     texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     rows = stored(
-        texts.mapInArrow(sketch(width), f"doc_id {id_type}, n_shingles long, key binary, signature binary"),
+        texts.mapInArrow(wa.tidy(sketch(width)), f"doc_id {id_type}, n_shingles long, key binary, signature binary"),
         "sketches",
     )
     usable = rows.filter("n_shingles > 0 and doc_id is not null")
@@ -289,7 +289,7 @@ def class_links(
     found = texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = stored(
         found.select("text")
-        .mapInArrow(full_sets(width), "key binary, shingles binary, signature binary, fine binary")
+        .mapInArrow(wa.tidy(full_sets(width)), "key binary, shingles binary, signature binary, fine binary")
         .join(wanted.select("key"), "key", "left_semi")
         .dropDuplicates(["key"]),
         "sets",
@@ -297,10 +297,10 @@ def class_links(
 
     def links_of(pairs: DataFrame) -> DataFrame:
         """Exact check of likely pairs."""
-        return _pairs_with(pairs, sets, "shingles").mapInArrow(verified(percent), pair_schema)
+        return _pairs_with(pairs, sets, "shingles").mapInArrow(wa.tidy(verified(percent)), pair_schema)
 
     star = members.filter("key <> center").select(F.col("center").alias("a"), F.col("key").alias("b")).distinct()
-    near = stored(_pairs_with(star, sets, "fine").mapInArrow(likely(cut), pair_schema), "likely")
+    near = stored(_pairs_with(star, sets, "fine").mapInArrow(wa.tidy(likely(cut)), pair_schema), "likely")
     first = stored(links_of(near), "verified")
 
     labels = components(first).withColumnRenamed("node", "key")
@@ -310,7 +310,7 @@ def class_links(
     small = labelled.filter((F.col("n") > 2) & (F.col("n") <= FEW) & (F.col("key") != F.col("center")))
     left, right = (small.select("bucket", F.col("key").alias(k), F.col("label").alias(f"label_{k}")) for k in "ab")
     crossing = left.join(right, "bucket").filter("a < b and label_a <> label_b").select("a", "b").distinct()
-    crossing = _pairs_with(crossing, sets, "fine").mapInArrow(likely(cut), pair_schema)
+    crossing = _pairs_with(crossing, sets, "fine").mapInArrow(wa.tidy(likely(cut)), pair_schema)
 
     large = labelled.filter(F.col("n") > FEW)
     sides = large.join(centers, "bucket").withColumn("right", F.col("label") == F.col("main"))

@@ -27,7 +27,7 @@ from corpusforge.llm.storage import stored
 LENGTH = 1024
 WINDOW_SEQUENCES = 64
 MAX_QUEUES = 65_536
-CACHED_CHUNKS = 1_500_000
+CACHED_CHUNKS = 500_000
 END = 0
 
 Batches = Iterator[pa.RecordBatch]
@@ -224,7 +224,7 @@ def pack(
     )
     tokens = stored(
         named.mapInArrow(
-            tokenize(tokenizer), f"part int, doc_id {id_type}, source {source_type}, at long, n long, ids binary"
+            wa.tidy(tokenize(tokenizer)), f"part int, doc_id {id_type}, source {source_type}, at long, n long, ids binary"
         ),
         "tokens",
     )
@@ -249,6 +249,6 @@ def pack(
         "t.doc_id", "b.queue", (F.col("b.base") + F.col("t.at")).alias("begin"), "t.n", "t.ids"
     )
     return placed.mapInArrow(
-        cut_pieces(schedule, length),
+        wa.tidy(cut_pieces(schedule, length)),
         f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
     )

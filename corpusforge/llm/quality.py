@@ -69,7 +69,7 @@ def count_ngrams(batches: Batches) -> Batches:
 
 def counts_of(texts: DataFrame) -> np.ndarray:
     """Counts by kind and cell: ``KINDS * BUCKETS`` numbers whatever the size of the input."""
-    counted = texts.mapInArrow(count_ngrams, "kind int, cell int, n long")
+    counted = texts.mapInArrow(wa.tidy(count_ngrams), "kind int, cell int, n long")
     summed = counted.groupBy("kind", "cell").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros((KINDS, BUCKETS))
     out[summed["kind"].to_numpy(), summed["cell"].to_numpy()] = summed["n"].to_numpy()
@@ -143,7 +143,7 @@ def resample(
     shared = spark.sparkContext.broadcast(ratios)
     ranked = stored(
         named.select("doc_id", "text", F.xxhash64(F.lit(seed), "doc_id").alias("h")).mapInArrow(
-            weigh(shared, seed, noise), f"doc_id {id_type}, log_weight double, gumbel_key double, rank long"
+            wa.tidy(weigh(shared, seed, noise)), f"doc_id {id_type}, log_weight double, gumbel_key double, rank long"
         ),
         "weights",
     )

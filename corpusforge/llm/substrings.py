@@ -197,11 +197,11 @@ def remove_repeats(
     texts_only = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), *extra)
     named = texts_only.filter("doc_id is not null")
     id_type = texts_only.schema["doc_id"].dataType.simpleString()
-    anchors = named.select("text").mapInArrow(anchors_of(window), "anchor long, n long")
+    anchors = named.select("text").mapInArrow(wa.tidy(anchors_of(window)), "anchor long, n long")
     again = stored(anchors.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor"), "anchors")
     shared = spark.sparkContext.broadcast(build_filter(again, again.count()))
     open_ = named.select("doc_id", "text").mapInArrow(
-        candidates_of(window, shared), f"phrase long, doc_id {id_type}, start int"
+        wa.tidy(candidates_of(window, shared)), f"phrase long, doc_id {id_type}, start int"
     )
     index = open_.groupBy("phrase").agg(F.min(F.struct("doc_id", "start")).alias("first"))
     # the starts of a document's first phrases as one run of bytes, as long as the document at most
@@ -214,7 +214,7 @@ def remove_repeats(
     )
     kept = "".join(f"`_carried_{c}` {docs.schema[c].dataType.simpleString()}, " for c in carry)
     done = joined.mapInArrow(
-        parse(window, shared, texts),
+        wa.tidy(parse(window, shared, texts)),
         f"doc_id {id_type}, {kept}n_words long, n_removed long, kept_sha256 string, "
         "factors array<struct<start:int,end:int>>" + (", kept_text string" if texts else ""),
     )

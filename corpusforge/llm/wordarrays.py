@@ -7,14 +7,15 @@ and on the longest single text only.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, wraps
 
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = (1 << 20) - 1  # with one place more, what the least power table serves
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 WHITE = np.zeros(256, dtype=bool)
@@ -52,7 +53,7 @@ def _power_block(log2: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse modulo 2**64, at least ``n`` of them."""
-    return _power_block(max(int(n).bit_length(), 21))
+    return _power_block(max((int(n) - 1).bit_length(), 20))
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = False) -> np.ndarray:
@@ -126,6 +127,25 @@ def slices(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, np.nd
         low = high
 
 
+@cache
+def _trim() -> Callable[[int], int]:
+    """``malloc_trim`` where the C library has it."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task function that hands its free memory back when it is done: worker processes outlive their tasks, and what
+    the allocators keep for later adds up over the workers of an executor."""
+
+    @wraps(run)
+    def tidied(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        _trim()(0)
+
+    return tidied
+
+
 def grams(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of the ``k`` words from each word on, and whether those words lie in one text."""
     n = len(words.hashes)
