@@ -83,10 +83,83 @@ SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(c
 FROM words LEFT JOIN kept USING (doc_id)"""
 
 
+def spelling_variants() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""WITH RECURSIVE runs AS (
+  SELECT DISTINCT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{upper}', '{upper.lower()}') AS run FROM documents
+),
+bits AS (
+  SELECT doc_id, run, CAST(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run) AS BIT) AS b FROM runs WHERE length(run) >= 6
+),
+sums AS (
+  SELECT doc_id, run, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(bit_length(b)), lambda i: CAST(get_bit(b, CAST(i // 8 * 8 + 7 - i % 8 AS INTEGER)) AS BIGINT))),
+    lambda c, x: xor(c >> 1, 3988292384 * (xor(c, x) & 1)))) AS h
+  FROM bits
+),
+changed AS (
+  SELECT doc_id, run, CASE WHEN h % 199 = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word
+  FROM sums
+),
+occurrences AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{upper}', '{upper.lower()}') AS run FROM documents
+),
+words AS (
+  SELECT word, count(*) AS n FROM occurrences o JOIN changed c ON o.run = c.run AND o.doc_id IS NOT DISTINCT FROM c.doc_id
+  WHERE length(word) >= 6 GROUP BY word HAVING count(*) >= 5
+),
+cuts AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+without AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest, length(word) AS size FROM cuts),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n FROM without a JOIN without b ON a.rest = b.rest AND a.i = b.i AND a.size = b.size AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM without a JOIN words b ON a.rest = b.word
+  UNION
+  SELECT b.word, a.word, a.n FROM without a JOIN words b ON a.rest = b.word
+),
+best AS (
+  SELECT word, near, n AS near_n, count(*) OVER (PARTITION BY word) AS n_near FROM pairs
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY n DESC, near) = 1
+),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * n THEN near END AS form,
+    CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+),
+walk(word, stop) AS (
+  SELECT word, word FROM forms
+  UNION ALL
+  SELECT w.word, f.form FROM walk w JOIN forms f ON f.word = w.stop WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, w.stop AS root, f.n, f.n_near, f.form_n FROM forms f JOIN walk w ON f.word = w.word
+JOIN forms last ON last.word = w.stop AND last.form IS NULL"""
+
+
+def formatted_chats() -> str:
+    marks = ["<|im_start|>", "<|im_end|>", "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
+    escaped = "replace(text, chr(92), chr(92) || chr(92))"
+    for mark in marks:
+        escaped = f"replace({escaped}, '{mark}', '{mark[0]}' || chr(92) || '{mark[1:]}')"
+    return f"""WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, * FROM (VALUES (0, 'user', '</s>[INST] ok [/INST]'), (1, 'assistant', '</s>[INST] ok [/INST]')) AS t(turn, role, text)
+),
+learnt AS (SELECT *, CASE WHEN role = 'assistant' THEN text ELSE '' END AS loss FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(length(loss)) AS BIGINT) AS loss_chars,
+  sha256(string_agg(loss, '' ORDER BY turn, role, text)) AS loss_sha256,
+  CAST(sum(length(url_encode(role)) + 24 + length({escaped})) AS BIGINT) AS formatted_chars
+FROM learnt GROUP BY conv_id"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op1_minhash_neardup": near_documents(),
         "op4_pq_neardup": near_vectors(),
         "op6_warc_chunks": archives(),
         "op9_relative_lz_substrings": repeats(),
+        "op12_spelling_variants": spelling_variants(),
+        "op13_chat_formatting": formatted_chats(),
     }
