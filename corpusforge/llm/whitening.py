@@ -310,7 +310,6 @@ def _rounded(total: int, n: int) -> int:
 def fit(distinct: DataFrame, components: int) -> dict[int, Model]:
     """A model for each length of the vectors ``x`` of ``distinct``, from two passes: sums, then centred products."""
     sums = {dim: (int(row[0]), [int(s) for s in row[1:]]) for (dim, _), row in _collected(distinct.mapInArrow(_vector_sums, SUMS)).items()}
-    sums.pop(0, None)
     centres = {dim: np.array([_rounded(s, n) for s in row], np.int64) for dim, (n, row) in sums.items()}
 
     @tidy
@@ -319,9 +318,8 @@ def fit(distinct: DataFrame, components: int) -> dict[int, Model]:
         for batch in batches:
             for x in _matrices(batch):
                 dim = x.shape[1]
-                if dim:
-                    z = x - centres[dim]
-                    totals[dim] = totals.get(dim, 0) + exact_product(z, z)
+                z = x - centres[dim]
+                totals[dim] = totals.get(dim, 0) + exact_product(z, z)
         for dim, gram in totals.items():
             yield from _sum_rows({(dim, row): gram[row, row:] for row in range(dim)})
 
@@ -349,10 +347,9 @@ def identity_errors(distinct: DataFrame, models: dict[int, Model]) -> dict[int,
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for x in _matrices(batch):
-                if x.shape[1]:
-                    w = models[x.shape[1]].whitened(x)
-                    w = np.hstack([np.ones((len(w), 1)), w])
-                    totals[x.shape[1]] = totals.get(x.shape[1], 0) + w.T @ w
+                w = models[x.shape[1]].whitened(x)
+                w = np.hstack([np.ones((len(w), 1)), w])
+                totals[x.shape[1]] = totals.get(x.shape[1], 0) + w.T @ w
         for dim, total in totals.items():
             i, j = np.triu_indices(len(total))
             columns = [[dim] * len(i), i, j, total[i, j]]
@@ -381,7 +378,7 @@ def whiten(
     """
     sound = F.forall(vector, lambda c: c.isNotNull() & (F.abs(c.cast("double")) < LARGEST / scale * 64))
     x = F.transform(vector, lambda c: F.floor(c.cast("double") * scale).cast("long") + F.lit(shift))
-    rows = df.filter(F.col(vector).isNotNull() & sound).select(F.col(id).alias("vec_id"), x.alias("x"))
+    rows = df.filter(F.col(vector).isNotNull() & (F.size(vector) > 0) & sound).select(F.col(id).alias("vec_id"), x.alias("x"))
     distinct = stored(rows.select("x").distinct(), "fit-list")
     models = fit(distinct, components)
     errors = identity_errors(distinct, models)
@@ -393,8 +390,6 @@ def whiten(
             column = batch.column("x")
             lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
             for dim in np.unique(lengths):
-                if not dim:
-                    continue
                 model, at = models[int(dim)], np.flatnonzero(lengths == dim)
                 x = column.take(pa.array(at)).flatten().to_numpy().reshape(-1, dim)
                 k = len(model.values)
