@@ -10,9 +10,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 from corpusforge.functions.text import token_count, tokens
@@ -29,6 +31,7 @@ MAX_BROADCAST_QUERIES = 4096
 MAX_CELLS = 65_536
 WORD_BUCKETS = 64
 QUERY_BLOCK = 1024
+SCORE_CELLS = 1 << 22  # scores held at once when rows look for their cells
 CORPUS_BLOCK = 50_000
 
 
@@ -48,15 +51,37 @@ def with_filters(corpus: DataFrame, filters: dict | None) -> DataFrame:
 # --- vectors ------------------------------------------------------------------------------------
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def matrix_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length as rows of a matrix."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+    return flat.reshape(len(column), -1) if len(column) else np.empty((0, 0))
 
 
-def _ids(column: pa.Array) -> np.ndarray:
-    values = column.to_numpy(zero_copy_only=False)
-    return values.astype(str) if values.dtype == object else values
+def by_length(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarray]]:
+    """Lengths of the vectors, each with the positions of its rows."""
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    for length in np.unique(lengths):
+        yield int(length), np.flatnonzero(lengths == length)
+
+
+def sortable(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Ids as an array that keeps them exact: numbers, or objects where there are nulls or no numbers."""
+    if column.null_count or not pa.types.is_integer(column.type):
+        out = np.empty(len(column), object)
+        out[:] = column.to_pylist()
+        return out
+    return column.to_numpy()
+
+
+def _ranks(ids: np.ndarray) -> np.ndarray:
+    """Places of ids in ascending order, null first."""
+    if ids.dtype != object:
+        return np.unique(ids, return_inverse=True)[1]
+    there = np.array([i is not None for i in ids], bool)
+    out = np.full(len(ids), -1)
+    out[there] = np.unique(ids[there], return_inverse=True)[1]
+    return out
 
 
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
@@ -66,60 +91,73 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
         candidates = np.flatnonzero(scores >= kth)
     else:
         candidates = np.arange(len(scores))
-    order = np.lexsort((ids[candidates], -scores[candidates]))
+    order = np.lexsort((_ranks(ids[candidates]), -scores[candidates]))
     return candidates[order[:k]]
 
 
-class _Queries:
-    """Query vectors as arrays, with the cells each query probes when the search is approximate."""
+class BestRows:
+    """The ``k`` best rows of each query seen so far in one task."""
 
-    def __init__(self, qids: list, vectors: np.ndarray, probes: np.ndarray | None):
-        self.qids, self.vectors, self.probes = qids, vectors, probes
+    def __init__(self, k: int):
+        self.k, self.kept = k, {}
 
-    def score(self, matrix: np.ndarray, cells: np.ndarray | None) -> np.ndarray:
-        scores = np.round(matrix @ self.vectors.T, SCORE_DIGITS)
-        if self.probes is not None:
-            visited = (cells[:, None, None] == self.probes[None, :, :]).any(axis=2)
-            scores = np.where(visited, scores, -np.inf)
-        return scores
+    def add(self, query: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        seen = np.flatnonzero(np.isfinite(scores))
+        ids, scores = ids[seen], scores[seen]
+        best = _best(ids, scores, self.k)
+        ids, scores = ids[best], scores[best]
+        if query in self.kept:
+            ids = np.concatenate([self.kept[query][0], ids])
+            scores = np.concatenate([self.kept[query][1], scores])
+            best = _best(ids, scores, self.k)
+            ids, scores = ids[best], scores[best]
+        self.kept[query] = ids, scores
 
+    def batches(self, qids: pa.Array | pa.ChunkedArray, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+        for query, (ids, scores) in self.kept.items():
+            if len(ids):
+                columns = [pa.array([qids[query].as_py()] * len(ids), qids.type), pa.array(ids.tolist(), id_type), pa.array(scores)]
+                yield pa.RecordBatch.from_arrays(columns, names=["qid", "id", "score"])
 
-def _local_top_k(
-    batches: Iterator[pa.RecordBatch], queries: _Queries, k: int, schema: pa.Schema
-) -> Iterator[pa.RecordBatch]:
-    """Score the batches of one task and keep ``k`` rows per query, whatever the task's size."""
-    kept: list[tuple] = [(None, None)] * len(queries.qids)
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        ids = _ids(batch.column("id"))
-        cells = batch.column("cell").to_numpy() if queries.probes is not None else None
-        scores = queries.score(_matrix(batch.column("vector")), cells)
-        for q in range(len(queries.qids)):
-            seen = np.flatnonzero(np.isfinite(scores[:, q]))
-            q_ids, q_scores = ids[seen], scores[seen, q]
-            best = _best(q_ids, q_scores, k)
-            q_ids, q_scores = q_ids[best], q_scores[best]
-            if kept[q][0] is not None:
-                q_ids = np.concatenate([kept[q][0], q_ids])
-                q_scores = np.concatenate([kept[q][1], q_scores])
-                best = _best(q_ids, q_scores, k)
-                q_ids, q_scores = q_ids[best], q_scores[best]
-            kept[q] = (q_ids, q_scores)
-    for qid, (ids, scores) in zip(queries.qids, kept, strict=True):
-        if ids is not None and len(ids):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([qid] * len(ids), schema.field(0).type),
-                    pa.array(ids.tolist(), schema.field(1).type),
-                    pa.array(scores, pa.float64()),
-                ],
-                schema=schema,
-            )
 
+class _Queries:
+    """Query vectors by length, and by the cells they probe when the search is approximate."""
 
-def _arrow_type(t: T.DataType) -> pa.DataType:
-    return {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.StringType(): pa.string()}[t]
+    def __init__(self, rows: pa.Table, probing: bool):
+        self.qids = rows.column("qid").combine_chunks()
+        vectors = rows.column("vector")
+        self.groups = {length: (at, matrix_of(vectors.take(pa.array(at)))) for length, at in by_length(vectors)}
+        self.probes = [set(p or ()) for p in rows.column("probe").to_pylist()] if probing else None
+
+    def asking(self, length: int, cell: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and vectors of the queries of this length that look into the cell."""
+        at, matrix = self.groups.get(length, (np.empty(0, int), np.empty((0, length))))
+        if cell is None:
+            return at, matrix
+        those = np.array([cell in self.probes[q] for q in at], bool)
+        return at[those], matrix[those]
+
+
+def _local_top_k(batches: Iterator[pa.RecordBatch], queries: _Queries, k: int) -> Iterator[pa.RecordBatch]:
+    """Score the batches of one task and keep ``k`` rows per query, whatever the task's size.
+
+    Vectors are compared with queries of their own length; rows of a cell only with the queries that probe it.
+    """
+    best, id_type = BestRows(k), None
+    for batch in batches:
+        id_type = batch.schema.field("id").type
+        for length, at in by_length(batch.column("vector")):
+            cells = batch.column("cell").to_numpy()[at] if queries.probes is not None else None
+            for cell in [None] if cells is None else np.unique(cells):
+                asking, vectors = queries.asking(length, cell)
+                if len(asking):
+                    rows = pa.array(at if cell is None else at[cells == cell])
+                    ids = sortable(batch.column("id").take(rows))
+                    scores = np.round(matrix_of(batch.column("vector").take(rows)) @ vectors.T, SCORE_DIGITS)
+                    for column, q in enumerate(asking):
+                        best.add(int(q), ids, scores[:, column])
+    if id_type is not None:
+        yield from best.batches(queries.qids, id_type)
 
 
 def vector_topk(
@@ -155,34 +193,23 @@ def vector_topk(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    wire = pa.schema(
-        [("qid", _arrow_type(types[0])), ("id", _arrow_type(types[1])), ("score", pa.float64())]
-    )
     rows = q.limit(max_broadcast + 1).toArrow()
     if rows.num_rows == 0:
         return top_k(c.sparkSession.createDataFrame([], out), k)
     if rows.num_rows <= max_broadcast:
-        block = _query_block(rows, probing)
+        block = _Queries(rows, probing)
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            return _local_top_k(batches, block, k, wire)
+            return _local_top_k(batches, block, k)
 
         scored = c.mapInArrow(scan, out)
     else:
-        scored = _blocked(q, c, k, out, wire, probing)
+        scored = _blocked(q, c, k, out, probing)
     return top_k(scored, k)
 
 
-def _query_block(rows: pa.Table, probing: bool) -> _Queries:
-    return _Queries(
-        rows.column("qid").to_pylist(),
-        _matrix(rows.column("vector")),
-        _matrix(rows.column("probe")).astype(np.int64) if probing else None,
-    )
-
-
 def _blocked(
-    q: DataFrame, c: DataFrame, k: int, out: T.StructType, wire: pa.Schema, probing: bool,
+    q: DataFrame, c: DataFrame, k: int, out: T.StructType, probing: bool,
     query_block: int = QUERY_BLOCK, corpus_block: int = CORPUS_BLOCK,
 ) -> DataFrame:
     """Fragment and replicate: every query block meets every corpus block in exactly one task."""
@@ -195,13 +222,13 @@ def _blocked(
     right = c.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(c_blocks)).cast("int"))
     right = right.withColumn("qb", every_q)
 
+    wire = to_arrow_schema(out)
+
     def meet(queries: pa.Table, corpus: pa.Table) -> pa.Table:
         if queries.num_rows == 0 or corpus.num_rows == 0:
             return wire.empty_table()
-        batches = corpus.combine_chunks().to_batches()
-        return pa.Table.from_batches(
-            _local_top_k(iter(batches), _query_block(queries, probing), k, wire), schema=wire
-        )
+        found = [pa.Table.from_batches([b]).cast(wire) for b in _local_top_k(iter(corpus.combine_chunks().to_batches()), _Queries(queries, probing), k)]
+        return pa.concat_tables(found) if found else wire.empty_table()
 
     return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(meet, out)
 
@@ -224,28 +251,56 @@ def assign_cells(
     """
     rows = cells.select(F.col(cell).cast("int").alias("cell"), vector).limit(MAX_CELLS + 1)
     table = rows.toArrow()
-    if table.num_rows > MAX_CELLS:
-        raise ValueError(f"a quantizer has at most {MAX_CELLS} cells")
-    names = table.column("cell").to_numpy()
-    order = np.argsort(names)
-    names, centres = names[order], _matrix(table.column(vector))[order]
     field = T.StructField("cell", T.IntegerType()) if n == 1 else T.StructField(
         "probe", T.ArrayType(T.IntegerType())
     )
+    df = df.filter(F.col(vector).isNotNull())
+    if table.num_rows > MAX_CELLS:
+        return _assigned_by_join(df, cells, n, cell, vector, field.name)
+    names = table.column("cell").to_numpy()
+    order = np.argsort(names)
+    names, centres = names[order].astype(np.int32), matrix_of(table.column(vector))[order]
     out = T.StructType([*df.schema.fields, field])
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            scores = np.round(_matrix(batch.column(vector)) @ centres.T, SCORE_DIGITS)
-            ranked = names[np.argsort(-scores, axis=1, kind="stable")[:, :n]].astype(np.int32)
-            added = pa.array(ranked[:, 0]) if n == 1 else pa.array(ranked.tolist(), pa.list_(pa.int32()))
+            ranked = _nearest_cells(matrix_of(batch.column(vector)), centres, n)
+            found = names[ranked]
+            added = pa.array(found[:, 0]) if n == 1 else pa.array(found.tolist(), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, added], names=[*batch.schema.names, field.name]
             )
 
-    return df.filter(F.col(vector).isNotNull()).mapInArrow(nearest, out)
+    return df.mapInArrow(nearest, out)
+
+
+def _nearest_cells(matrix: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
+    """Numbers of the ``n`` best centres of each row, the first one at a tie; memory is that of a block of rows."""
+    n = min(n, len(centres))
+    out = np.empty((len(matrix), n), np.int64)
+    rows = max(1, SCORE_CELLS // max(len(centres), 1))
+    for low in range(0, len(matrix), rows):
+        scores = np.round(matrix[low : low + rows] @ centres.T, SCORE_DIGITS)
+        every = np.arange(len(scores))
+        for rank in range(n):
+            at = np.argmax(scores, axis=1)
+            out[low : low + rows, rank] = at
+            scores[every, at] = -np.inf
+    return out
+
+
+def _assigned_by_join(df: DataFrame, cells: DataFrame, n: int, cell: str, vector: str, name: str) -> DataFrame:
+    """As ``assign_cells`` for more cells than a task should hold: blocks of rows meet blocks of cells in a shuffle."""
+    marked = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+    rows = marked.select(F.col("_row").alias("qid"), F.col(vector).alias("vector"))
+    centres = cells.select(F.col(cell).cast("int").alias("id"), F.col(vector).alias("vector"))
+    out = T.StructType([T.StructField("qid", T.LongType()), T.StructField("id", T.IntegerType()), T.StructField("score", T.DoubleType())])
+    best = top_k(_blocked(rows, centres, n, out, False), n).groupBy(F.col("qid").alias("_row"))
+    found = best.agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "id"))), lambda s: s["id"]).alias(name))
+    joined = marked.join(found, "_row").drop("_row")
+    return joined.withColumn(name, F.element_at(name, 1)) if n == 1 else joined
 
 
 # --- keywords -----------------------------------------------------------------------------------
@@ -299,10 +354,10 @@ def keyword_topk(
 
 def word_index(corpus: DataFrame, id: str = "id", text: str = "text") -> DataFrame:
     """Words counted per text, for storage partitioned by ``bucket`` next to ``corpus_totals``."""
-    return _counted(_words(corpus, id, text)).withColumn("bucket", _bucket())
+    return _counted(_words(corpus, id, text)).withColumn("bucket", word_bucket())
 
 
-def _bucket() -> Column:
+def word_bucket() -> Column:
     return F.pmod(F.xxhash64("term"), F.lit(WORD_BUCKETS)).cast("int")
 
 
@@ -315,7 +370,7 @@ def indexed_topk(
     terms = wanted.select("term").distinct()
     if small:
         # joining on the bucket as well lets Spark skip the partitions that no query word falls into
-        keyed = F.broadcast(terms.withColumn("bucket", _bucket()))
+        keyed = F.broadcast(terms.withColumn("bucket", word_bucket()))
         hits = index.join(keyed, ["bucket", "term"]).drop("bucket")
     else:
         hits = join_lookup(index.drop("bucket"), terms, "term", F.col("id"), small)
@@ -399,21 +454,34 @@ def search(
 
 
 def tfidf_vectors(
-    df: DataFrame, dims: int = 256, text: str = "text", vector: str = "embedding"
+    df: DataFrame, dims: int = 256, text: str = "text", vector: str = "embedding", id: str = "id"
 ) -> DataFrame:
-    """A vector per text without a model service: hashed word counts, weighted by rarity, unit length."""
-    from pyspark.ml.feature import IDF, HashingTF, Normalizer
-    from pyspark.ml.functions import vector_to_array
+    """A vector per text without a model service: signed hashed word counts, weighted by rarity, unit length.
 
-    words = df.withColumn(
-        "_words", F.filter(tokens(F.coalesce(F.col(text), F.lit(""))), lambda t: t != "")
-    )
-    counted = HashingTF(numFeatures=dims, inputCol="_words", outputCol="_tf").transform(words)
-    weighted = IDF(inputCol="_tf", outputCol="_idf").fit(counted).transform(counted)
-    unit = Normalizer(inputCol="_idf", outputCol="_unit").transform(weighted)
-    return unit.withColumn(vector, vector_to_array("_unit", "float32")).drop(
-        "_words", "_tf", "_idf", "_unit"
-    )
+    The md5 of a word names its position and its sign, so words that share a position cancel out rather than add up.
+    Texts without words get the zero vector.
+    """
+    values = tfidf_entries(df, dims, text, id)
+    rows = values.groupBy(F.col("id").alias("_id")).agg(F.map_from_entries(F.collect_list(F.struct("position", "value"))).alias("_at"))
+    at = F.coalesce("_at", F.create_map().cast("map<int,double>"))
+    whole = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda p: F.coalesce(F.try_element_at(at, p), F.lit(0.0)).cast("float"))
+    return df.join(rows, F.col(id) == F.col("_id"), "left").select(*df.columns, whole.alias(vector))
+
+
+def tfidf_entries(df: DataFrame, dims: int = 256, text: str = "text", id: str = "id") -> DataFrame:
+    """``(id, position, value)``: the entries other than zero of ``tfidf_vectors``, rounded to ``SCORE_DIGITS``."""
+    counted = _counted(_words(df, id, text))
+    frequencies = counted.groupBy("term").agg(F.count("*").alias("df"))
+    total = df.select(F.count("*").alias("n")).scalar()
+    weight = F.log((total + 1) / (F.col("df") + 1)) + 1
+    hashed = F.md5("term")
+    position = (F.conv(F.left(hashed, F.lit(8)), 16, 10).cast("long") % dims).cast("int")
+    sign = F.when(F.conv(F.substring(hashed, 9, 1), 16, 10).cast("int") % 2 == 0, 1.0).otherwise(-1.0)
+    words = counted.join(frequencies, "term").select("id", position.alias("position"), (sign * F.col("tf") * weight).alias("x"))
+    summed = words.groupBy("id", "position").agg(F.sum("x").alias("x"))
+    length = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("id")))
+    unit = summed.select("id", "position", F.round(F.col("x") / length, SCORE_DIGITS).alias("value"))
+    return unit.filter("value <> 0")
 
 
 def sync_index(index: DataFrame, feed: DataFrame, embed, key: str = "id") -> DataFrame:

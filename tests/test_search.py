@@ -175,7 +175,7 @@ def test_tfidf_vectors_find_like_texts(spark, texts):
     assert len(rows) == len(docs) and all(len(e) == 64 for e in rows.values())
     assert abs(sum(x * x for x in rows[0]) - 1) < 1e-5 and not any(rows[200])
     some = v.filter("id < 20 AND id <> 200").select(F.col("id").alias("qid"), "embedding")
-    assert {r["qid"]: r["score"] for r in S.vector_topk(some, v, 1).collect()} == dict.fromkeys(range(20), 1.0)
+    assert {r["qid"]: r["score"] for r in S.vector_topk(some, v, 1).collect()} == pytest.approx(dict.fromkeys(range(20), 1.0), abs=1e-4)
 
 
 def test_sync_index_embeds_changed_rows_only(spark):
