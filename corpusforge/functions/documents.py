@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusforge.functions.text import col, is_blank, let
+from corpusforge.functions.text import WS, col, let
 
 PARSED_SCHEMA = "document struct<elements:array<struct<id:string,type:string,content:string>>>"
 
@@ -38,19 +40,109 @@ def page_title(html: Column | str) -> Column:
     return _without_tags(F.regexp_extract(col(html), "(?s)<h1>(.*?)</h1>", 1))
 
 
+# --- the section tree of a page ------------------------------------------------------------------
+
+_TAG_END = r"(?:[ \t\n\f\r/][^>]*)?>"
+_HIDDEN = "|".join(f"<{t}{_TAG_END}.*?</{t}{_TAG_END}" for t in ("script", "style", "noscript", "template")) + "|<!--.*?-->"
+_AROUND = "|".join(f"<{t}{_TAG_END}.*?</{t}{_TAG_END}" for t in ("head", "nav", "header", "footer", "aside", "form"))
+# Elements that begin and end a line of their own.
+_BLOCKS = (
+    "address article aside blockquote body dd div dl dt fieldset figcaption figure footer form header hr html li main nav ol p "
+    "pre section table tbody td tfoot th thead tr ul h1 h2 h3 h4 h5 h6"
+).split()
+_MARK = "\x01"  # no page may hold this character
+# named references of one code point, as the standard library lists them
+ENTITIES = {name: chr(code) for name, code in sorted(name2codepoint.items())} | {"apos": "'"}
+
+
+def decode_entities(text: Column) -> Column:
+    """Character references as characters; what is none, or names no character, stays as it is."""
+    named = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+
+    def decoded(piece: Column) -> Column:
+        name = F.regexp_extract(piece, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        digits = F.substring(name, 2, 8)
+        hexadecimal = F.lower(F.left(digits, F.lit(1))) == "x"
+        code = F.when(hexadecimal, F.conv(F.substring(digits, 2, 7), 16, 10)).otherwise(digits).try_cast("int")
+        sound = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        numeric = F.when(sound, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        char = F.when(F.startswith(name, F.lit("#")), numeric).when(name != "", F.try_element_at(named, name))
+        rest = F.substring(piece, F.char_length(name) + 2, F.char_length(piece))
+        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
+
+    def whole(pieces: Column) -> Column:
+        later = F.transform(F.slice(pieces, 2, F.size(pieces)), decoded)
+        return F.concat(F.element_at(pieces, 1), F.array_join(later, ""))
+
+    return F.when(F.contains(text, F.lit("&")), let(F.split(text, "&", -1), whole)).otherwise(text)
+
+
+def _one_line(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, f"{WS}+", " "))
+
+
+def _inline_text(markup: Column) -> Column:
+    return _one_line(decode_entities(F.regexp_replace(markup, "<[/!?a-zA-Z][^>]*>", "")))
+
+
+def _block_text(markup: Column) -> Column:
+    """Text of the blocks of a piece of markup, each on one line, with an empty line between."""
+    broken = F.regexp_replace(markup, f"(?i)</?(?:{'|'.join(_BLOCKS)}){_TAG_END}", _MARK)
+    spaced = F.regexp_replace(broken, f"(?i)<br{_TAG_END}", " ")
+    blocks = F.transform(F.split(spaced, _MARK, -1), _inline_text)
+    return F.array_join(F.filter(blocks, lambda b: b != ""), "\n\n")
+
+
+def page_content(html: Column | str) -> Column:
+    """Markup of all articles of a page; of the body, less what stands around an article, where there is none."""
+    visible = F.regexp_replace(F.replace(col(html), F.lit(_MARK), F.lit("")), f"(?is){_HIDDEN}", "")
+
+    def content(page: Column) -> Column:
+        articles = F.regexp_extract_all(page, F.lit(f"(?is)<article{_TAG_END}(.*?)</article{_TAG_END}"), F.lit(1))
+        inner = F.regexp_replace(page, f"(?is){_AROUND}", "")
+        return F.when(F.size(articles) > 0, F.array_join(articles, "<hr>")).otherwise(inner)
+
+    return let(visible, content)
+
+
 def page_sections(html: Column | str) -> Column:
-    """``array<struct<section_title, text>>`` in document order: one entry per paragraph of the article."""
-    visible = F.regexp_replace(col(html), "(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->", "")
-
-    def sections(article: Column) -> Column:
-        body = F.regexp_replace(article, "(?s)<h1>.*?</h1>", "")
-        texts = F.transform(F.split(body, "<p[^>]*>"), _without_tags)
-        shown = F.filter(texts, lambda t: ~is_blank(t))
-        return let(
-            page_title(article),
-            lambda title: F.transform(
-                shown, lambda t: F.struct(title.alias("section_title"), t.alias("text"))
-            ),
+    """``array<struct<level, path, section_title, text>>``: the sections with text, in document order.
+
+    A heading opens a section of its level, which holds the text up to the next heading of any level; ``path`` is the titles of the
+    sections around it and its own. Text ahead of the first heading is a section of level 0 without a title.
+    """
+    marked = F.regexp_replace(page_content(html), r"(?i)<h([1-6][ \t\n\f\r/>])", f"{_MARK}<h$1")
+
+    def parsed(part: Column, i: Column) -> Column:
+        closing = F.regexp_extract(part, r"(?is)^(.*?</h[1-6][ \t\n\f\r]*>)", 1)
+        title = _inline_text(F.regexp_replace(closing, r"(?is)^<h[1-6](?:[ \t\n\f\r/][^>]*)?>", ""))
+        level = F.when(i == 0, 0).otherwise(F.substring(part, 3, 1).try_cast("int"))
+        body = F.when(i == 0, part).otherwise(F.substring(part, F.char_length(closing) + 1, F.char_length(part)))
+        return F.struct(level.alias("level"), F.when(i == 0, "").otherwise(title).alias("title"), _block_text(body).alias("text"))
+
+    def nested(state: Column, one: Column) -> Column:
+        around = F.filter(state["open"], lambda o: o["level"] < one["level"])
+        opened = F.concat(around, F.array(F.struct(one["level"].alias("level"), one["title"].alias("title"))))
+        path = F.transform(F.filter(opened, lambda o: o["level"] > 0), lambda o: o["title"])
+        section = F.struct(one["level"].alias("level"), path.alias("path"), one["title"].alias("section_title"), one["text"].alias("text"))
+        return F.struct(
+            F.when(one["level"] > 0, opened).otherwise(state["open"]).alias("open"),
+            F.when(one["text"] != "", F.concat(state["done"], F.array(section))).otherwise(state["done"]).alias("done"),
         )
 
-    return let(F.regexp_extract(visible, "(?s)<article>(.*?)</article>", 1), sections)
+    start = F.struct(
+        F.array().cast("array<struct<level:int,title:string>>").alias("open"),
+        F.array().cast("array<struct<level:int,path:array<string>,section_title:string,text:string>>").alias("done"),
+    )
+    return F.aggregate(F.transform(F.split(marked, _MARK, -1), parsed), start, nested, lambda s: s["done"])
+
+
+def heading(html: Column | str) -> Column:
+    """Text of the first heading of level 1, empty if there is none."""
+    return _inline_text(F.regexp_extract(page_content(html), f"(?is)<h1{_TAG_END}(.*?)</h1", 1))
+
+
+def page_summary(sections: Column) -> Column:
+    """First paragraph ahead of all headings below level 1, of the result of ``page_sections``; empty if there is none."""
+    lead = F.get(F.filter(sections, lambda s: s["level"] <= 1), F.lit(0))
+    return F.coalesce(F.substring_index(lead["text"], "\n\n", 1), F.lit(""))

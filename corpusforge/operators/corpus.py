@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusforge.functions import text as tx
 from corpusforge.functions.dates import stamp_day, stamp_month, stamp_year
-from corpusforge.functions.documents import page_sections, page_title, text_elements
+from corpusforge.functions.documents import heading, page_sections, page_summary, page_title, text_elements
 from corpusforge.scaling import sized
 
 
@@ -35,22 +36,26 @@ def pages_for_keys(pages: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 def section_chunks(
     pages: DataFrame, key: str = "page_id", html: str = "html", size: int = tx.CHUNK_SIZE,
-    unique_ids: bool = False,
+    unique_ids: bool = False, parser: Callable[[Column], Column] = page_sections,
+    titled: Callable[[Column], Column] = heading,
 ) -> DataFrame:
-    """Chunks of every non-blank section of every page, in document order.
+    """Chunks of every section with text of every page, in document order, with page title and summary on each.
 
+    ``parser`` turns the page column, text or bytes, into ``array<struct<level, path, section_title, text>>``, ``titled`` into its title.
     The chunk id is key, section title and position in the section; sections of one page that share a
-    title share ids, unless ``unique_ids`` adds the section number.
+    title share ids, unless ``unique_ids`` adds the section number. Text ahead of all headings goes by the page's title.
     """
     page_cols = [c for c in pages.columns if c != html]
-    sections = pages.select(
-        *page_cols,
-        page_title(html).alias("title"),
-        F.posexplode_outer(page_sections(html)).alias("section_idx", "section"),
-    ).filter(F.col("section").isNotNull())
+    parsed = pages.select(*page_cols, titled(F.col(html)).alias("title"), parser(F.col(html)).alias("_sections"))
+    sections = parsed.select(
+        *page_cols, "title", page_summary(F.col("_sections")).alias("summary"),
+        F.posexplode_outer("_sections").alias("section_idx", "section"),
+    ).filter(F.col("section").isNotNull())
+    own = F.col("section.section_title")
     chunks = explode_chunks(
         sections.select(
-            *page_cols, "title", "section_idx", F.col("section.section_title"), F.col("section.text")
+            *page_cols, "title", "summary", "section_idx", "section.level", "section.path",
+            F.when(F.col("section.level") == 0, F.col("title")).otherwise(own).alias("section_title"), F.col("section.text"),
         ),
         "text", size, "sub_chunk_idx", "chunk",
     )
@@ -75,9 +80,18 @@ def parsed_elements(parsed: DataFrame, path: str = "path", json: str = "parsed_c
 
 def broken_documents(parsed: DataFrame, json: str = "parsed_content") -> DataFrame:
     """Parsed documents that are no JSON object, to be set aside instead of failing the run."""
+    return parsed.filter(~_is_object(json))
+
+
+def sound_documents(parsed: DataFrame, json: str = "parsed_content") -> DataFrame:
+    """All documents but the broken ones."""
+    return parsed.filter(_is_object(json))
+
+
+def _is_object(json: str) -> Column:
     kind = F.schema_of_variant(F.try_parse_json(json))
     is_object = F.startswith(kind, F.lit("OBJECT")) & F.endswith(tx.strip(json), F.lit("}"))
-    return parsed.filter(~F.coalesce(is_object, F.lit(False)))
+    return F.coalesce(is_object, F.lit(False))
 
 
 def paper_chunks(
