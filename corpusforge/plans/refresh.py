@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from corpusforge.functions.text import strict_concat
 from corpusforge.operators import corpus as C
+from corpusforge.operators import digests as DG
 from corpusforge.operators import relational as R
 from corpusforge.operators import search as S
 from corpusforge.operators import state as ST
-from corpusforge.operators import upsert as U
 from corpusforge.sources import tables as TB
+from corpusforge.sources import versions as VS
 
 PAPERS, PAGES, ENTRIES = "papers", "pages", "entries"
 CORPUS_BUCKETS = 8
@@ -71,27 +72,34 @@ class CorpusRefresh:
         TB.overwrite(state, self.name("sync_metadata"))
 
     def load_papers(self, landed: Landed) -> bool:
-        """Metadata of papers not seen before, then their parsed documents and chunks. False if none."""
+        """Metadata of papers not seen before, then every known paper's document that has no chunks yet. False if none.
+
+        What is to be done follows from what is stored and not from the run: documents that arrive late, or whose run died
+        at any step, are taken up by the next one.
+        """
         stamped = landed.papers.withColumns(
             {"processed": F.lit(self.run_id), "ingest_ts": F.lit(self.as_of)}
         )
         TB.insert_new(stamped, self.name("papers"), "arxiv_id")
-        new = self.table("papers").filter(F.col("processed") == self.run_id)
-        if new.isEmpty():
-            return False
         arrived = landed.parsed.withColumn("arxiv_id", C.tx.path_id("path"))
-        arrived = arrived.join(new.select("arxiv_id"), "arxiv_id", "left_semi")
+        arrived = arrived.join(self.table("papers").select("arxiv_id"), "arxiv_id", "left_semi")
         parsed = arrived.select("path", "parsed_content", F.lit(self.run_id).alias("processed"))
         TB.insert_new(C.broken_documents(parsed), self.name("broken_documents"), "path")
-        TB.insert_new(parsed, self.name("parsed_documents"), "path")
-        chunks = C.paper_chunks(self.table("parsed_documents"), self.table("papers"), self.run_id)
+        TB.insert_new(C.sound_documents(parsed), self.name("parsed_documents"), "path")
+        pending = self.table("parsed_documents")
+        if self.exists("paper_chunks"):
+            chunked = self.table("paper_chunks").select("arxiv_id").distinct()
+            pending = pending.join(chunked, C.tx.path_id("path") == F.col("arxiv_id"), "left_anti")
+        chunks = C.paper_chunks(pending, self.table("papers"))
+        if self.exists("paper_chunks") and chunks.isEmpty():
+            return False
         TB.insert_new(chunks, self.name("paper_chunks"), "id")
-        return True
+        return not self.table("paper_chunks").isEmpty()
 
     def load_pages(self, landed: Landed) -> bool:
         if not self.due(PAGES):
             return False
-        TB.overwrite(C.section_chunks(landed.pages), self.name("page_chunks"))
+        TB.overwrite(C.section_chunks(landed.pages, unique_ids=True), self.name("page_chunks"))
         self.stamp(PAGES)
         return True
 
@@ -119,17 +127,31 @@ class CorpusRefresh:
         )
         # the index is keyed by id
         unified = C.unique_ids(unified)
-        TB.overwrite(unified, self.name("corpus__new"), bucket_by=(self.buckets, "id"))
-        new = self.table("corpus__new")
-        if self.exists("corpus") and self.exists("corpus_index"):
-            feed = U.change_feed(self.table("corpus"), new, "id")
+        corpus, index_name = self.name("corpus"), self.name("corpus_index")
+        shown = VS.shown(self.spark, corpus)
+        version = VS.write_version(unified, corpus, bucket_by=(self.buckets, "id"))
+        new = self.spark.table(version)
+        digests = self.digests_of(version)
+        if shown and self.exists("corpus_index"):
+            feed = DG.feed_between(self.spark.table(shown), new, "id", self.digests_of(shown), digests)
             TB.overwrite(feed, self.name("corpus_changes"))
             index = S.sync_index(self.table("corpus_index"), self.table("corpus_changes"), embed)
         else:
             index = embed(new)
-        TB.overwrite(index, self.name("corpus_index"), bucket_by=(self.buckets, "id"))
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name('corpus')}")
-        self.spark.sql(f"ALTER TABLE {self.name('corpus__new')} RENAME TO {self.name('corpus')}")
+        # the index first: applied to it again, the same changes do nothing, but a corpus ahead of its index would lose them
+        TB.overwrite(index, index_name, bucket_by=(self.buckets, "id"))
+        VS.switch(self.spark, corpus, version)
+        kept = VS.drop_stale(self.spark, corpus)
+        for name in self.spark.catalog.listTables(self.schema):
+            if name.name.startswith("digests_") and name.name.removeprefix("digests_") not in {v.rpartition(".")[2] for v in kept}:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.name(name.name)}")
+
+    def digests_of(self, version: str) -> DataFrame:
+        """Digests of a version of the corpus, stored with it; made anew where a run has died before it wrote them."""
+        name = self.name("digests_" + version.rpartition(".")[2])
+        if self.spark.catalog.tableExists(name):
+            return self.spark.table(name)
+        return DG.store_digests(self.spark.table(version), "id", name, self.buckets)
 
     def run(self, landed: Landed, embed: Callable[[DataFrame], DataFrame]) -> dict[str, bool]:
         self.prepare()

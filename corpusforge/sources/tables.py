@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusforge.operators.upsert import new_keys_only
+from corpusforge.sources import versions
 
 
 def ensure_schema(spark: SparkSession, schema: str) -> None:
@@ -22,8 +23,9 @@ def create_if_absent(df: DataFrame, name: str) -> None:
 def append(df: DataFrame, name: str) -> None:
     """Add rows. Columns go by name; the table decides their order."""
     spark = df.sparkSession
-    if spark.catalog.tableExists(name):
-        df.select(*spark.table(name).columns).write.mode("append").insertInto(name)
+    stored = versions.shown(spark, name)
+    if stored:
+        df.select(*spark.table(name).columns).write.mode("append").insertInto(stored)
     else:
         df.write.saveAsTable(name)
 
@@ -32,34 +34,8 @@ def overwrite(
     df: DataFrame, name: str, bucket_by: tuple[int, str] | None = None,
     partition_by: list[str] | None = None,
 ) -> None:
-    """Replace a table, also when ``df`` reads it: the new version is written next to it and renamed.
-
-    ``bucket_by=(n, key)`` stores rows hashed by key, so that later joins and aggregates on it need no
-    shuffle.
-    """
-    spark = df.sparkSession
-    staging = f"{name}__next"
-    recover(spark, name)
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    # rebalancing keeps the files of a partition few, and splits a hot partition
-    writer = df.hint("rebalance", *partition_by).write if partition_by else df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if bucket_by:
-        writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
-    writer.saveAsTable(staging)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
-    if partition_by:
-        # some catalogs keep the partition paths of the old name
-        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
-
-
-def recover(spark: SparkSession, name: str) -> None:
-    """Finish a replacement that died between dropping the old version and renaming the new one."""
-    staging = f"{name}__next"
-    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(staging):
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    """Replace a table, also when ``df`` reads it. Readers see the old version or the new one, whenever the run stops."""
+    versions.publish(df, name, bucket_by, partition_by)
 
 
 def widen(df: DataFrame, name: str) -> DataFrame:
@@ -71,8 +47,9 @@ def widen(df: DataFrame, name: str) -> DataFrame:
 
 
 def insert_new(df: DataFrame, name: str, key: str) -> None:
-    """Insert the rows whose key the table lacks; running it twice changes nothing."""
+    """Insert the rows whose key the table lacks; running it twice changes nothing, also for a null key."""
     spark = df.sparkSession
-    if spark.catalog.tableExists(name):
-        df = new_keys_only(df, spark.table(name), key)
+    if versions.shown(spark, name):
+        known = spark.table(name).select(F.col(key).alias("_known")).distinct()
+        df = df.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
     append(df, name)
