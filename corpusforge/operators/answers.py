@@ -17,11 +17,24 @@ COUNTRY_TERMS = [
 ]
 
 
-def output_text(items: Column, text: Column | None = None) -> Column:
-    """Text of an answer given as a list of items: the text of the first one, else the plain text."""
-    first = F.get(items, F.lit(0))
-    fallback = text if text is not None else F.lit("")
-    return F.when(F.size(items) > 0, F.coalesce(first["text"], F.lit(""))).otherwise(fallback)
+def output_text(output: Column) -> Column:
+    """Text of an answer given as JSON of any form.
+
+    A string is its own text. Of a list, the first item counts: the ``text`` of an object, empty if it has none, any other item as it is
+    written. Everything else, an empty list as well, counts as it is written; what is no JSON is plain text.
+    """
+    value = F.try_parse_json(output)
+    kind = F.schema_of_variant(value)
+    first = F.try_variant_get(value, "$[0]", "variant")
+    of_first = F.schema_of_variant(first)
+    item = F.when(F.startswith(of_first, F.lit("OBJECT")), F.coalesce(F.try_variant_get(value, "$[0].text", "string"), F.lit("")))
+    written = F.to_json(value)
+    return (
+        F.when(value.isNull(), output)
+        .when(kind == "STRING", F.variant_get(value, "$", "string"))
+        .when(F.startswith(kind, F.lit("ARRAY")) & first.isNotNull(), F.coalesce(item, F.try_variant_get(value, "$[0]", "string"), F.to_json(first)))
+        .otherwise(written)
+    )
 
 
 def word_count_check(text: Column) -> Column:
@@ -41,11 +54,13 @@ SCORERS: dict[str, Callable[[Column], Column]] = {
 
 
 def score_answers(
-    answers: DataFrame, text: str = "text", scorers: dict[str, Callable] | None = None
+    answers: DataFrame, text: str = "text", scorers: dict[str, Callable] | None = None, mixed: bool = False
 ) -> DataFrame:
-    """The answers with one flag per scorer."""
-    flags = {name: fn(F.col(text)) for name, fn in (scorers or SCORERS).items()}
-    return answers.withColumns(flags)
+    """The answers with one flag per scorer. ``mixed``: the column holds JSON of any form, see ``output_text``."""
+    if mixed:
+        answers = answers.withColumn("_said", output_text(F.col(text)))
+    flags = {name: fn(F.col("_said" if mixed else text)) for name, fn in (scorers or SCORERS).items()}
+    return answers.withColumns(flags).drop("_said")
 
 
 def report(scored: DataFrame, scorers: list[str] | None = None) -> DataFrame:

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from corpusforge.functions.text import request_slug
 
-# The answer for an unknown key, with the line break and indent of its wording.
-MISSING_HEAD = "No data found for country: "
-MISSING_TAIL = ".\n" + " " * 36 + "Maybe they never qualified?"
+# Fixed value: the answer for an unknown key, with the line break and indent of its wording.
+MISSING = """No data found for country: {name}.
+                                    Maybe they never qualified?"""
 HISTORY_TOOL = "predict_winner"
 LOOKUP_TOOL = "roast_country"
 TURN_CAP = 10
 
+HISTORY_BYTES = 65_536
+RANGE_DIGITS = 3
+
 
 def _json(**fields: Column) -> Column:
     built = F.struct(*[c.alias(name) for name, c in fields.items()])
@@ -28,7 +34,8 @@ def lookup_with_fallback(requests: DataFrame, summaries: DataFrame, name: str =
     keyed = requests.withColumn("_slug", request_slug(name))
     stats = summaries.select(F.col("chunk_id").alias("_slug"), "part", F.col("text").alias("_text"))
     found = F.col("_text").isNotNull()
-    error = F.concat(F.lit(MISSING_HEAD), F.col(name), F.lit(MISSING_TAIL))
+    before, after = MISSING.split("{name}")
+    error = F.concat(F.lit(before), F.col(name), F.lit(after))
     return keyed.join(stats, "_slug", "left").select(
         *requests.columns,
         found.alias("found"),
@@ -40,19 +47,35 @@ def lookup_with_fallback(requests: DataFrame, summaries: DataFrame, name: str =
 
 
 def history_json(
-    summaries: DataFrame, year: int, digits: int = 2, by: list[str] | None = None
+    summaries: DataFrame, year: int, limit: int = HISTORY_BYTES, by: list[str] | None = None
 ) -> DataFrame:
-    """All summaries as ``16 ** digits`` JSON documents per group: ``(document, n, json)``.
+    """All summaries as JSON documents of about ``limit`` bytes per group: ``(document, n, json)``, numbered from 0.
 
-    A row's document is named by the first hexadecimal digits of the digest of its key, so it never depends on how
-    many other rows there are. ``digits`` is the caller's to choose: a document is one row and one task holds it.
+    Rows lie in the order of the digests of their keys, and a row belongs to the document that its first byte falls into. So a document
+    is no longer than ``limit`` and its last row, however large the table is. Two passes: bytes per range of
+    digests, whose sums are the offsets of the ranges, then offsets inside each range.
     """
-    document = F.left(F.md5(F.concat_ws("/", "chunk_id", "part")), F.lit(digits)).alias("document")
-    item = F.struct(F.col("chunk_id").alias("country"), "part", F.col("text").alias("stat"))
-    items = F.transform(
-        F.array_sort(F.collect_list(item)), lambda i: F.struct(i["country"], i["stat"])
-    )
-    return summaries.groupBy(*(by or []), document).agg(
+    groups = by or []
+    item = _json(country=F.col("chunk_id"), stat=F.col("text"))
+    digest = F.md5(F.concat_ws("/", "chunk_id", "part"))
+    rows = summaries.select(
+        *groups, "chunk_id", "part", "text", digest.alias("_digest"), (F.octet_length(item) + 1).alias("_bytes")
+    )
+    rows = rows.withColumn("_range", F.left("_digest", F.lit(RANGE_DIGITS)))
+    # at most 16 ** RANGE_DIGITS rows a group, whatever the table
+    ranges = rows.groupBy(*groups, "_range").agg(F.sum("_bytes").alias("_all"))
+    earlier = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.select(
+        *[F.col(g).alias(f"_{g}") for g in groups], F.col("_range").alias("_of"), F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_start")
+    )
+    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups] + [F.col("_range") == F.col("_of")]
+    placed = rows.join(F.broadcast(starts) if not groups else starts, reduce(lambda a, b: a & b, same))
+    inside = Window.partitionBy(*groups, "_range").orderBy("_digest", "chunk_id", "part", "text")
+    before = F.col("_start") + F.sum("_bytes").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_bytes")
+    dealt = placed.withColumn("document", F.floor(before / limit).cast("long"))
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("chunk_id").alias("country"), "part", F.col("text").alias("stat"))))
+    items = F.transform(ordered, lambda i: F.struct(i["country"], i["stat"]))
+    return dealt.groupBy(*groups, "document").agg(
         F.count("*").alias("n"),
         _json(year=F.lit(year), historical_data=items).alias("json"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 # What counts as white space, and the terms of the country check.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
@@ -110,36 +112,106 @@ document_chunks AS (
   FROM packed
 )"""
 
-PAGE_SECTIONS = f"""
-visible AS (
-  SELECT page_id, regexp_replace(html, '<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'gs') AS html
-  FROM pages
-),
-blocks AS (
-  SELECT page_id, regexp_replace(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), '<[^>]*>', '', 'g') AS title,
-    list_filter(
-      list_transform(
-        string_split_regex(regexp_replace(
-          regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '<h1>.*?</h1>', '', 's'), '<p[^>]*>'),
-        lambda b: regexp_replace(b, '<[^>]*>', '', 'g')),
-      lambda b: trim(b, {_quote(WHITESPACE)}) <> '') AS texts
+TAG_END = r"(?:[ \t\n\f\r/][^>]*)?>"
+BLOCK_TAGS = (
+    "address|article|aside|blockquote|body|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|header|hr|html|li|main|nav|ol|p"
+    "|pre|section|table|tbody|td|tfoot|th|thead|tr|ul|h1|h2|h3|h4|h5|h6"
+)
+NAMED = ", ".join(f"{_quote(n)}: chr({c})" for n, c in sorted({**name2codepoint, "apos": 39}.items()))
+
+
+def _decoded(text: str) -> str:
+    name = "regexp_extract(p, '^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);', 1)"
+    code = f"CASE WHEN {name}[2:2] IN ('x', 'X') THEN TRY_CAST('0x' || {name}[3:] AS INTEGER) ELSE TRY_CAST({name}[2:] AS INTEGER) END"
+    sound = f"({code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111)"
+    char = f"""CASE WHEN {name} LIKE '#%' THEN CASE WHEN {sound} THEN chr({code}) END
+      WHEN {name} <> '' THEN (MAP {{{NAMED}}})[{name}] END"""
+    rest = f"coalesce({char} || substr(p, length({name}) + 2), '&' || p)"
+    return f"(string_split({text}, '&')[1] || array_to_string(list_transform(string_split({text}, '&')[2:], lambda p: {rest}), ''))"
+
+
+def _inline(markup: str) -> str:
+    text = _decoded(f"regexp_replace({markup}, '<[/!?a-zA-Z][^>]*>', '', 'g')")
+    return f"trim(regexp_replace({text}, '{WS_CLASS}+', ' ', 'g'), ' ')"
+
+
+def _page_sections(pages: str) -> str:
+    """CTEs up to ``section_chunks`` over a view (page_id, html)."""
+    hidden = "|".join(f"<{t}{TAG_END}.*?</{t}{TAG_END}" for t in ("script", "style", "noscript", "template")) + "|<!--.*?-->"
+    around = "|".join(f"<{t}{TAG_END}.*?</{t}{TAG_END}" for t in ("head", "nav", "header", "footer", "aside", "form"))
+    return f"""
+visible AS (SELECT page_id, regexp_replace(replace(html, chr(1), ''), '(?is){hidden}', '', 'g') AS page FROM {pages}),
+content AS (
+  SELECT page_id, CASE WHEN regexp_matches(page, '(?is)<article{TAG_END}.*?</article{TAG_END}')
+    THEN array_to_string(regexp_extract_all(page, '(?is)<article{TAG_END}(.*?)</article{TAG_END}', 1), '<hr>')
+    ELSE regexp_replace(page, '(?is){around}', '', 'g') END AS markup
   FROM visible
 ),
+titled AS (SELECT page_id, markup, {_inline(f"regexp_extract(markup, '(?is)<h1{TAG_END}(.*?)</h1', 1)")} AS title FROM content),
+split AS (
+  SELECT page_id, title, unnest(parts) AS part, unnest(range(len(parts))) AS i
+  FROM (SELECT page_id, title, string_split(regexp_replace(markup, '(?i)<h([1-6][ \\t\\n\\f\\r/>])', chr(1) || '<h\\1', 'g'), chr(1)) AS parts FROM titled)
+),
+headed AS (
+  SELECT page_id, title, i, part, CASE WHEN i = 0 THEN 0 ELSE CAST(part[3:3] AS INTEGER) END AS level,
+    CASE WHEN i = 0 THEN '' ELSE regexp_extract(part, '(?is)^(.*?</h[1-6][ \\t\\n\\f\\r]*>)', 1) END AS opening
+  FROM split
+),
+parsed AS (
+  SELECT page_id, title, i, level, {_inline(f"regexp_replace(opening, '(?is)^<h[1-6]{TAG_END}', '')")} AS own,
+    array_to_string(list_filter(list_transform(
+      string_split(regexp_replace(regexp_replace(part[length(opening) + 1:], '(?i)</?(?:{BLOCK_TAGS}){TAG_END}', chr(1), 'g'), '(?i)<br{TAG_END}', ' ', 'g'), chr(1)),
+      lambda b: {_inline("b")}), lambda b: b <> ''), chr(10) || chr(10)) AS body
+  FROM headed
+),
+parents AS (
+  SELECT c.page_id, c.i, max(a.i) AS parent FROM parsed c
+  LEFT JOIN parsed a ON a.page_id = c.page_id AND a.i < c.i AND a.level > 0 AND a.level < c.level GROUP BY c.page_id, c.i
+),
+climb AS (
+  SELECT page_id, i, i AS step FROM parsed WHERE level > 0
+  UNION ALL
+  SELECT c.page_id, c.i, p.parent FROM climb c JOIN parents p ON p.page_id = c.page_id AND p.i = c.step WHERE p.parent IS NOT NULL
+),
+paths AS (
+  SELECT c.page_id, c.i, string_agg(s.own, ' > ' ORDER BY s.i) AS path
+  FROM climb c JOIN parsed s ON s.page_id = c.page_id AND s.i = c.step GROUP BY c.page_id, c.i
+),
+leads AS (
+  SELECT page_id, split_part(arg_min(body, i), chr(10) || chr(10), 1) AS summary FROM parsed WHERE level <= 1 AND body <> '' GROUP BY page_id
+),
 sections AS (
-  SELECT page_id, title, CAST(unnest(range(len(texts))) AS INTEGER) AS section_idx, unnest(texts) AS section
-  FROM blocks
+  SELECT page_id, level, coalesce(path, '') AS path, CASE WHEN level = 0 THEN title ELSE own END AS section_title, title,
+    coalesce(summary, '') AS summary, body AS section,
+    CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS section_idx
+  FROM parsed LEFT JOIN paths USING (page_id, i) LEFT JOIN leads USING (page_id) WHERE body <> ''
 ),
-packed_sections AS (SELECT page_id, title, section_idx, {_chunks('section')} AS pieces FROM sections),
+packed_sections AS (SELECT *, {_chunks('section')} AS pieces FROM sections),
 page_chunks AS (
-  SELECT page_id, title, section_idx, CAST(unnest(range(len(pieces))) AS INTEGER) AS sub_chunk_idx,
-         unnest(pieces) AS text FROM packed_sections
+  SELECT * EXCLUDE (section, pieces), CAST(unnest(range(len(pieces))) AS INTEGER) AS sub_chunk_idx, unnest(pieces) AS text
+  FROM packed_sections
 ),
 section_chunks AS (
-  SELECT page_id, section_idx, sub_chunk_idx,
-         page_id || '_' || lower(replace(title, ' ', '_')) || '_' || sub_chunk_idx AS chunk_id, text
+  SELECT page_id, level, path, section_title, title, summary, section_idx, sub_chunk_idx,
+         page_id || '_' || lower(replace(section_title, ' ', '_')) || '_' || sub_chunk_idx AS chunk_id, text
   FROM page_chunks
 )"""
 
+
+PAGE_SECTIONS = _page_sections("pages")
+
+# Pages with headings of several levels, with a heading that nobody closes, two articles, one with attributes, or none.
+RICH_PAGES = """
+rich_pages AS (
+  SELECT page_id, CASE page_id % 4
+      WHEN 0 THEN replace(html, '<article>', '<article class="main" id=a>')
+      WHEN 1 THEN replace(replace(html, '<article>', '<div>'), '</article>', '</div>')
+      WHEN 2 THEN replace(html, '</h1>', '</h1></article><article>')
+      ELSE replace(html, '</article>', '<h5>open</article>') END AS html
+  FROM (SELECT page_id, replace(replace(replace(html, '<br>', '<h2 class="k">Part &#38; &eacute;<br/>two</h2>'),
+    '.</p><p>', '.</p><h4>Deep</h4><p>'), ', ', ' &lt;&#x1F600;&nope;&#0; ') AS html FROM pages)
+)"""
+
 UNIFIED = f"""{SUMMARIES}, {DOCUMENT_CHUNKS}, {PAGE_SECTIONS},
 unified AS (
   SELECT 'documents_' || doc_id || '_' || chunk_idx AS id, chunk AS text, 'documents' AS source
@@ -280,7 +352,8 @@ SELECT source, count(*) AS total_chunks, round(avg(length(chunk)), 6) AS avg_len
        CAST(min(length(chunk)) AS BIGINT) AS min_length, CAST(max(length(chunk)) AS BIGINT) AS max_length,
        round(avg(length(chunk)) / 4, 6) AS est_tokens
 FROM document_chunks GROUP BY source""",
-        "page_sections": f"WITH {PAGE_SECTIONS} SELECT * FROM section_chunks",
+        "page_sections": f"WITH RECURSIVE {PAGE_SECTIONS} SELECT * FROM section_chunks",
+        "page_tree": f"WITH RECURSIVE {RICH_PAGES}, {_page_sections('rich_pages')} SELECT * FROM section_chunks",
         "fetch_pages": """SELECT page_id, url, regexp_extract(url, '[^/]*$') AS url_id,
   regexp_replace(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), '<[^>]*>', '', 'g') AS title
 FROM pages WHERE page_id IN (SELECT user_id FROM events)""",
@@ -295,8 +368,9 @@ SELECT doc_id AS arxiv_id, chunk_id, {_clean('content')} AS text, doc_id || '_'
   title, summary, authors, CAST(year(published) AS INTEGER) AS year,
   CAST(month(published) AS INTEGER) AS month, CAST(day(published) AS INTEGER) AS day
 FROM elements LEFT JOIN papers ON doc_id = arxiv_id""",
-        "unified_corpus": f"WITH {UNIFIED} SELECT id, text, source FROM unified",
-        "duplicate_ids": f"WITH {UNIFIED} SELECT id, count(*) AS n FROM unified GROUP BY id HAVING count(*) > 1",
+        "unified_corpus": f"WITH RECURSIVE {UNIFIED} SELECT id, text, source FROM unified",
+        "duplicate_ids": f"""WITH RECURSIVE {RICH_PAGES}, {_page_sections('rich_pages')}
+SELECT 'pages_' || chunk_id AS id, count(*) AS n FROM section_chunks GROUP BY id HAVING count(*) > 1""",
         "new_keys_only": """SELECT doc_id, lang, source FROM documents d
 WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
         "merge_insert_only": """SELECT doc_id, quality, toxic, CAST(NULL AS VARCHAR) AS lang FROM labels
@@ -322,6 +396,13 @@ FROM new WHERE doc_id IN (SELECT doc_id FROM touched)
 UNION ALL
 SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM new) THEN 'update_preimage' ELSE 'delete' END, text
 FROM versions v WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.doc_id = v.doc_id AND n.text = v.text)""",
+        "change_feed_digests": f"""WITH {SNAPSHOTS}
+SELECT new.doc_id, CASE WHEN old.doc_id IS NULL THEN 'insert' ELSE 'update_postimage' END AS change_type, new.text
+FROM new LEFT JOIN old USING (doc_id) WHERE old.text IS DISTINCT FROM new.text
+UNION ALL
+SELECT old.doc_id, CASE WHEN new.doc_id IS NULL THEN 'delete' ELSE 'update_preimage' END, old.text
+FROM old LEFT JOIN new USING (doc_id) WHERE old.text IS DISTINCT FROM new.text""",
+        "index_sync_stream": f"WITH {SNAPSHOTS} SELECT doc_id, md5(text) AS text_hash FROM new",
         "index_sync": f"WITH {SNAPSHOTS} SELECT doc_id, md5(text) AS text_hash FROM new",
         "seed_state": f"""WITH {SYNC}
 SELECT source_table, last_synced FROM state WHERE last_synced > {AS_OF}
@@ -347,6 +428,11 @@ SELECT '| ' || country || ' | ' || participations || ' | ' || wins || ' |' AS li
 SELECT qid, id, score, rank FROM ({_top('vector_scores', 10)})""",
         "vector_topk_filtered": f"""WITH {VECTOR_SCORES},
 allowed AS (SELECT * FROM vector_scores WHERE label = 3)
+SELECT qid, id, score, rank FROM ({_top('allowed', 5)})""",
+        "vector_index_topk": f"""WITH {VECTOR_SCORES}
+SELECT qid, id, score, rank FROM ({_top('vector_scores', 10)})""",
+        "vector_index_filtered": f"""WITH {VECTOR_SCORES},
+allowed AS (SELECT * FROM vector_scores WHERE label = 3)
 SELECT qid, id, score, rank FROM ({_top('allowed', 5)})""",
         "vector_topk_probed": f"""WITH {VECTOR_SCORES},
 positions AS (
@@ -382,6 +468,24 @@ votes AS (
 fused AS (SELECT qid, id, round(sum(1 / (60.0::DOUBLE + rank)), 9) AS score FROM votes GROUP BY qid, id)
 SELECT qid, doc_id, source, score, rank FROM ({_top('fused', 80)}) JOIN documents ON doc_id = id""",
         "answer_checks": f"WITH {checks} SELECT * FROM checks",
+        "tfidf_embed": f"""WITH words AS (SELECT doc_id, unnest({TERMS}) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+total AS (SELECT count(*) AS n FROM documents),
+entries AS (
+  SELECT doc_id, CAST(CAST('0x' || md5(term)[1:8] AS BIGINT) % 256 AS INTEGER) AS position,
+    sum(CASE WHEN CAST('0x' || md5(term)[9:9] AS BIGINT) % 2 = 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END
+      * tf * (ln((n + 1)::DOUBLE / (df + 1)) + 1)) AS x
+  FROM tf JOIN df USING (term) CROSS JOIN total GROUP BY ALL
+),
+unit AS (SELECT doc_id, position, round(x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)), 6) AS value FROM entries)
+SELECT * FROM unit WHERE value <> 0""",
+        "mixed_answers": f"""WITH said AS (
+  SELECT conv_id, turn, CASE conv_id % 6 WHEN 0 THEN text WHEN 1 THEN text WHEN 2 THEN '' WHEN 3 THEN '[]'
+    WHEN 4 THEN '12.' || turn ELSE text END AS text
+  FROM conversations WHERE role = 'assistant'
+)
+SELECT conv_id, turn, text AS said, len({word_list}) < 400 AS word_count_check, {contains_term} AS mentions_countries FROM said""",
         "evaluation_report": f"""WITH {checks}
 SELECT 'word_count_check' AS scorer, count(*) AS n, round(avg(word_count_check::INT), 6) AS mean FROM checks
 UNION ALL
@@ -398,7 +502,13 @@ SELECT name, text IS NOT NULL AS found, part,
        ELSE json_object('country', name, 'stats', text) END AS VARCHAR) AS json
 FROM requests LEFT JOIN summaries ON lower(replace(key, ' ', '_')) = chunk_id""",
         "history_json": f"""WITH {SUMMARIES},
-dealt AS (SELECT *, left(md5(chunk_id || '/' || part), 2) AS document FROM summaries)
+sized AS (
+  SELECT *, md5(chunk_id || '/' || part) AS digest,
+    strlen(CAST(json_object('country', chunk_id, 'stat', text) AS VARCHAR)) + 1 AS bytes FROM summaries
+),
+dealt AS (
+  SELECT *, CAST((sum(bytes) OVER (ORDER BY digest, chunk_id) - bytes) // 65536 AS BIGINT) AS document FROM sized
+)
 SELECT document, count(*) AS n, CAST(json_object('year', 2025, 'historical_data',
     to_json(list({{'country': chunk_id, 'stat': text}} ORDER BY chunk_id))) AS VARCHAR) AS json
 FROM dealt GROUP BY document""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,18 +12,22 @@ from pyspark.sql import functions as F
 from corpusforge.functions import text as tx
 from corpusforge.operators import answers as A
 from corpusforge.operators import corpus as C
+from corpusforge.operators import digests as DG
+from corpusforge.operators import postings as PO
 from corpusforge.operators import profiling as P
 from corpusforge.operators import relational as R
 from corpusforge.operators import search as S
 from corpusforge.operators import serving as V
 from corpusforge.operators import state as ST
 from corpusforge.operators import upsert as U
+from corpusforge.operators import vector_index as VI
 from corpusforge.plans import standins as si
 from corpusforge.plans.standins import Tables
 from corpusforge.scaling import shared_folder
 from corpusforge.schemas import DOCUMENT
 from corpusforge.sources import files
 from corpusforge.streaming import incremental as INC
+from corpusforge.streaming import index_sync as ISY
 
 AS_OF = dt.datetime(2024, 7, 28, 23, 30, tzinfo=dt.UTC)
 HISTORY_YEAR = 2025
@@ -108,9 +113,22 @@ def chunk_stats(t: Tables) -> DataFrame:
     )
 
 
+def _section_rows(chunks: DataFrame) -> DataFrame:
+    return chunks.select(
+        "page_id", "level", F.array_join("path", " > ").alias("path"), "section_title", "title", "summary",
+        "section_idx", "sub_chunk_idx", "chunk_id", "text",
+    )
+
+
 @query
 def page_sections(t: Tables) -> DataFrame:
-    return si.page_chunks(t).select("page_id", "section_idx", "sub_chunk_idx", "chunk_id", "text")
+    return _section_rows(si.page_chunks(t))
+
+
+@query
+def page_tree(t: Tables) -> DataFrame:
+    """Sections of pages that are built in other ways than the given ones."""
+    return _section_rows(C.section_chunks(si.rich_pages(t)))
 
 
 @query
@@ -175,7 +193,8 @@ def unified_corpus(t: Tables) -> DataFrame:
 
 @query
 def duplicate_ids(t: Tables) -> DataFrame:
-    return C.duplicate_ids(unified_corpus(t))
+    """Ids that sections of one page share, because they have the same title."""
+    return C.duplicate_ids(C.unify({"pages": (C.section_chunks(si.rich_pages(t)), "chunk_id")}))
 
 
 # --- keyed changes and sync state ---------------------------------------------------------------
@@ -209,6 +228,36 @@ def change_feed_copies(t: Tables) -> DataFrame:
     return feed.select("doc_id", F.col("_change_type").alias("change_type"), "text")
 
 
+@query
+def change_feed_digests(t: Tables) -> DataFrame:
+    """The change feed from stored digests, in tables of the catalog that go when the changes are known."""
+    old, new = si.old_snapshot(t), si.new_snapshot(t)
+    names = [f"digests_{uuid.uuid4().hex}" for _ in range(2)]
+    digests = [DG.store_digests(df, "doc_id", name) for df, name in zip((old, new), names, strict=True)]
+    feed = DG.feed_between(old, new, "doc_id", *digests)
+    for name in names:
+        t.spark.sql(f"DROP TABLE {name}")
+    return feed.select("doc_id", F.col("_change_type").alias("change_type"), "text")
+
+
+@query
+def index_sync_stream(t: Tables) -> DataFrame:
+    """An index brought up by a stream: a first load, then the changes, and the first batch once more."""
+    folder = shared_folder(t.spark, "index-stream")
+    old, new = si.old_snapshot(t), si.new_snapshot(t)
+    load = old.select("*", F.lit("insert").alias("_change_type"), F.lit(1).alias("_version"))
+    load.write.parquet(f"{folder}/landed")
+    sync = ISY.IndexSync(t.spark, f"{folder}/index", "doc_id", lambda df: df.select("doc_id", F.md5("text").alias("text_hash")))
+    feed = INC.file_stream(t.spark, f"{folder}/landed", "doc_id LONG, text STRING, _change_type STRING, _version INT")
+    sync.run(feed, f"{folder}/checkpoint")
+    changes = U.change_feed(old, new, "doc_id").select("doc_id", "text", "_change_type", F.lit(2).alias("_version"))
+    changes.write.mode("append").parquet(f"{folder}/landed")
+    sync.run(feed, f"{folder}/checkpoint")
+    sync.upsert(load, 0)
+    sync.compact()
+    return sync.current()
+
+
 @query
 def index_sync(t: Tables) -> DataFrame:
     def embed(df: DataFrame) -> DataFrame:
@@ -275,6 +324,19 @@ def vector_topk_filtered(t: Tables) -> DataFrame:
     return S.vector_topk(_query_vectors(t), _vectors(t), 5, {"label": 3})
 
 
+@query
+def vector_index_topk(t: Tables) -> DataFrame:
+    """The exact ranking again, from a stored index whose cells are read only where they can matter."""
+    index = VI.build(_vectors(t), shared_folder(t.spark, "vector-index"), keep=["label"])
+    return VI.query_index(_query_vectors(t), index, 10, exact=True)
+
+
+@query
+def vector_index_filtered(t: Tables) -> DataFrame:
+    index = VI.build(_vectors(t), shared_folder(t.spark, "vector-index"), keep=["label"])
+    return VI.query_index(_query_vectors(t), index, 5, exact=True, filters={"label": 3})
+
+
 @query
 def vector_topk_probed(t: Tables) -> DataFrame:
     cells = S.mean_vectors(t.embeddings, "label").withColumnRenamed("label", "cell")
@@ -290,15 +352,9 @@ def keyword_topk(t: Tables) -> DataFrame:
 
 @query
 def keyword_topk_indexed(t: Tables) -> DataFrame:
-    """The keyword search again, on a word index written before."""
-    folder = shared_folder(t.spark, "word-index")
-    docs = si.documents(t, "text")
-    # rebalancing splits the bucket of a frequent word into files of even size
-    index = S.word_index(docs, "doc_id").hint("rebalance", "bucket")
-    index.write.partitionBy("bucket").parquet(f"{folder}/words")
-    S.corpus_totals(docs).write.parquet(f"{folder}/totals")
-    stored = [t.spark.read.parquet(f"{folder}/{part}") for part in ("words", "totals")]
-    return S.indexed_topk(si.queries(t).select("qid", "text"), *stored, 10)
+    """The keyword search again, on postings in blocks written before."""
+    index = PO.build(si.documents(t, "text"), shared_folder(t.spark, "postings"), "doc_id")
+    return PO.blocked_topk(si.queries(t).select("qid", "text"), index, 10)
 
 
 @query
@@ -316,9 +372,8 @@ def hybrid_deep(t: Tables) -> DataFrame:
 
 @query
 def tfidf_embed(t: Tables) -> DataFrame:
-    return S.tfidf_vectors(si.documents(t, "text")).select(
-        "doc_id", F.size(F.filter("embedding", lambda x: x != 0)).alias("nnz")
-    )
+    """Whole vectors, by their entries other than zero."""
+    return S.tfidf_entries(si.documents(t, "text"), id="doc_id").withColumnRenamed("id", "doc_id")
 
 
 # --- answers and serving ------------------------------------------------------------------------
@@ -330,6 +385,14 @@ def answer_checks(t: Tables) -> DataFrame:
     return scored.select("conv_id", "turn", "word_count_check", "mentions_countries")
 
 
+@query
+def mixed_answers(t: Tables) -> DataFrame:
+    """Answers that come as a string, a list of items or of strings, an object, or an empty list."""
+    return A.score_answers(si.mixed_answers(t), "output", mixed=True).select(
+        "conv_id", "turn", A.output_text(F.col("output")).alias("said"), "word_count_check", "mentions_countries"
+    )
+
+
 @query
 def evaluation_report(t: Tables) -> DataFrame:
     scored = A.score_answers(V.assistant_messages(t.conversations))
@@ -381,7 +444,7 @@ def csv_load(t: Tables) -> DataFrame:
         F.col("l_extendedprice").alias("price"),
     ).write.csv(folder, header=True, escape='"')
     schema = "orderkey LONG, final_place INT, language STRING, price DOUBLE"
-    return files.read_csv(t.spark, folder, schema)
+    return files.read_csv(t.spark, folder, schema, multi_line=True)
 
 
 @query

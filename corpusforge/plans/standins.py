@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,6 +113,23 @@ def page_chunks(t: Tables) -> DataFrame:
     return C.section_chunks(spread(t.pages.select("page_id", "html"), "page_id"))
 
 
+def rich_pages(t: Tables) -> DataFrame:
+    """Pages with headings of several levels, with a heading that nobody closes, two articles, one with attributes, or none."""
+    replaced = lambda c, *pairs: reduce(lambda h, p: F.replace(h, F.lit(p[0]), F.lit(p[1])), pairs, c)
+    html = replaced(
+        F.col("html"), ("<br>", '<h2 class="k">Part &#38; &eacute;<br/>two</h2>'), (".</p><p>", ".</p><h4>Deep</h4><p>"),
+        (", ", " &lt;&#x1F600;&nope;&#0; "),
+    )
+    kind = F.col("page_id") % 4
+    shaped = (
+        F.when(kind == 0, replaced(html, ("<article>", '<article class="main" id=a>')))
+        .when(kind == 1, replaced(html, ("<article>", "<div>"), ("</article>", "</div>")))
+        .when(kind == 2, replaced(html, ("</h1>", "</h1></article><article>")))
+        .otherwise(replaced(html, ("</article>", "<h5>open</article>")))
+    )
+    return spread(t.pages.select("page_id", "html"), "page_id").select("page_id", shaped.alias("html"))
+
+
 def parsed_documents(t: Tables) -> DataFrame:
     """Every document as parsed JSON: one element per line, short lines as headers."""
     lines = F.transform(
@@ -182,6 +201,22 @@ def lookup_requests(t: Tables) -> DataFrame:
     return t.part.select(typed.alias("name")).unionByName(t.supplier.select(F.col("s_name").alias("name")))
 
 
+def mixed_answers(t: Tables) -> DataFrame:
+    """Assistant messages as JSON of the forms that an agent gives answers in."""
+    item = F.struct(F.lit("message").alias("type"), "text")
+    form = F.col("conv_id") % 6
+    output = (
+        F.when(form == 0, F.to_json(F.array(item)))
+        .when(form == 1, F.to_json(F.array("text", F.lit("more"))))
+        .when(form == 2, F.to_json(F.array(F.struct(F.lit("tool").alias("type")))))
+        .when(form == 3, F.lit("[]"))
+        .when(form == 4, F.concat(F.lit("12."), F.col("turn")))
+        .otherwise(F.col("text"))
+    )
+    said = t.conversations.filter(F.col("role") == "assistant")
+    return said.select("conv_id", "turn", output.alias("output"))
+
+
 def tool_requests(t: Tables) -> DataFrame:
     """Events as tool calls: two kinds look a part up, one asks for the history, one forgets its
     argument, one names a tool that does not exist."""

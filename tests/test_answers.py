@@ -24,10 +24,15 @@ def test_own_scorers(spark):
 
 
 def test_output_text(spark):
-    rows = [([("x",), ("y",)], "p"), ([], "p"), ([(None,)], "p"), (None, "p")]
-    df = spark.createDataFrame(rows, "items array<struct<text string>>, plain string".replace("text string", "text:string"))
-    got = [r[0] for r in df.select(A.output_text(F.col("items"), F.col("plain"))).collect()]
-    assert got == ["x", "p", "", "p"]
+    forms = {
+        "plain words": "plain words", '"quoted"': "quoted", '[{"text": "x"}, {"text": "y"}]': "x", '[{"type": "t"}]': "", '[{"text": null}]': "",
+        '["a", "b"]': "a", "[7]": "7", "[[1]]": "[1]", "[]": "[]", '{"text": "t"}': '{"text":"t"}', "12.5": "12.5", "true": "true", "": "",
+    }
+    df = spark.createDataFrame([(k,) for k in [*forms, None]], "o string")
+    got = {r["o"]: r["t"] for r in df.select("o", A.output_text(F.col("o")).alias("t")).collect()}
+    assert got == forms | {None: None}
+    scored = A.score_answers(df, "o", mixed=True)
+    assert scored.columns == ["o", *A.SCORERS]
 
 
 @pytest.fixture(scope="module")
@@ -48,14 +53,19 @@ def test_lookup(spark, summaries):
 
 
 def test_history_holds_every_summary_once(spark):
-    rows = [(f"c{i}", 0, f"t{i}") for i in range(100)]
+    rows = [(f"c{i}", i % 2, f"täx {i}" * (i % 7)) for i in range(300)] + [("c1", 1, "täx 1")]
     df = spark.createDataFrame(rows, "chunk_id string, part long, text string")
-    got = V.history_json(df, 2025, 1).collect()
-    assert len(got) <= 16 and max(r["n"] for r in got) < 30
-    # a row's document does not depend on other rows
-    few = V.history_json(df.filter("chunk_id < 'c3'"), 2025, 1).collect()
-    place = {i["country"]: r["document"] for r in got for i in json.loads(r["json"])["historical_data"]}
-    assert all(place[i["country"]] == r["document"] for r in few for i in json.loads(r["json"])["historical_data"])
+    got = V.history_json(df, 2025, 1000).collect()
+    assert sorted(r["document"] for r in got) == list(range(len(got))) and len(got) > 5
+    head = len('{"year":2025,"historical_data":[]}')
+    longest = max(len(json.dumps({"country": c, "stat": t}, ensure_ascii=False).encode()) for c, _, t in rows)
+    assert max(len(r["json"].encode()) for r in got) <= head + 1000 + longest
+    # ten times the rows make more documents, not longer ones
+    more = df.crossJoin(spark.range(10)).withColumn("chunk_id", F.concat_ws("/", "chunk_id", "id")).drop("id")
+    wide = V.history_json(more, 2025, 1000).collect()
+    assert len(wide) > 9 * len(got) and max(len(r["json"].encode()) for r in wide) <= head + 1020 + longest
+    by = V.history_json(df.withColumn("g", F.col("part")), 2025, 1000, by=["g"]).collect()
+    assert {r["g"] for r in by} == {0, 1} and sum(r["n"] for r in by) == len(rows)
     items = [i for r in got for i in json.loads(r["json"])["historical_data"]]
     assert sorted((i["country"], i["stat"]) for i in items) == sorted((c, t) for c, _, t in rows)
     assert {json.loads(r["json"])["year"] for r in got} == {2025}
