@@ -21,7 +21,7 @@ from corpusforge.llm import wordarrays as wa
 from corpusforge.llm.storage import stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
-EXACT_BUDGET = 8192
+TRAIL_BITS = 1 << 30  # of all bit sets that a source keeps for the way back
 CELLS = 65536
 
 
@@ -37,30 +37,51 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit_budget(lengths: list[int], counts: list[int], budget: int) -> list[int]:
     """How many documents of each length to take, none more than there are, so that lengths sum up to ``budget`` or
-    as near below it as subsets reach in the last ``EXACT_BUDGET`` words."""
+    as near below it as subsets reach.
+
+    Each length gives its proportional part, and the rest is a subset sum over what is free. Where that misses the budget, one, two,
+    four ... documents of each length are given back and it is tried again, up to all of them.
+    """
     total = sum(n * c for n, c in zip(lengths, counts, strict=True))
     if total == 0 or budget <= 0:
         return [0] * len(lengths)
-    taken = [c * budget // total for c in counts]
+    whole = [c * min(budget, total) // total for c in counts]
+    best, nearest, back = whole, -1, 0
+    while True:
+        part = [max(0, w - back) for w in whole]
+        found = _close_gap(lengths, counts, part, budget)
+        reached = sum(n * t for n, t in zip(lengths, found, strict=True))
+        if reached > nearest:
+            best, nearest = found, reached
+        if nearest == min(budget, total) or not any(part):
+            return best
+        back = 2 * back or 1
+
+
+def _close_gap(lengths: list[int], counts: list[int], taken: list[int], budget: int) -> list[int]:
+    """``taken`` with more documents, by subset sums over the whole gap as long as their bit sets fit in ``TRAIL_BITS``; of
+    a wider gap (over 100,000 words with as many as 10,000 lengths) the longest documents take the excess."""
+    taken = list(taken)
     rest = budget - sum(n * t for n, t in zip(lengths, taken, strict=True))
+    exact = TRAIL_BITS // max(1, sum((c - t).bit_length() for n, c, t in zip(lengths, counts, taken, strict=True) if n))
     order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
-    for i in order:  # what rounding left over, until the knapsack can finish
-        if rest <= EXACT_BUDGET:
+    for i in order:
+        if rest <= exact:
             break
         more = min(counts[i] - taken[i], rest // lengths[i]) if lengths[i] else 0
         taken[i] += more
         rest -= more * lengths[i]
     # reachable sums as bits; items are powers of two of one length, so each bit set is one shift
-    reach, mask = 1, (1 << (rest + 1)) - 1 if rest <= EXACT_BUDGET else (1 << (EXACT_BUDGET + 1)) - 1
+    reach, mask = 1, (1 << (min(rest, exact) + 1)) - 1
     trail: list[tuple[int, int, int]] = []
     for i in order:
-        free, part = (counts[i] - taken[i], 1) if 0 < lengths[i] <= rest else (0, 1)
-        free = min(free, rest // lengths[i]) if free else 0
+        free = min(counts[i] - taken[i], rest // lengths[i]) if 0 < lengths[i] <= rest else 0
+        part = 1
         while free > 0 and not (reach >> rest) & 1:
-            part_now = min(part, free)
-            trail.append((i, part_now, reach))
-            reach |= (reach << (lengths[i] * part_now)) & mask
-            free -= part_now
+            now = min(part, free)
+            trail.append((i, now, reach))
+            reach |= (reach << (lengths[i] * now)) & mask
+            free -= now
             part *= 2
     at = reach.bit_length() - 1
     for i, n, before in reversed(trail):
