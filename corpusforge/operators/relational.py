@@ -62,23 +62,21 @@ def scoreboard(entries: DataFrame, min_participations: int = 5) -> DataFrame:
 
 
 def _yearly(entries: DataFrame, entity: str) -> DataFrame:
-    """Entries pre-aggregated to one row per entity, year and code value.
+    """Entries pre-aggregated to one row per entity and year.
 
-    Fixed-width sums only, so the map side combines a hot entity to a few rows before the shuffle.
+    The map side combines a hot entity to a few rows before the shuffle: sums, and sets as long as the code lists.
     """
     place = F.col("final_place")
-    return entries.groupBy(
-        F.col(entity).alias("entity"),
-        "year",
-        F.col("participant_region").alias("region"),
-        "language",
-        "style",
-    ).agg(
+    return entries.groupBy(F.col(entity).alias("entity"), "year").agg(
         F.count("*").alias("n"),
         F.count_if(place == 1).alias("n_won"),
         F.count(place).alias("n_placed"),
         F.sum(place).alias("place_sum"),
         F.min(place).alias("place_min"),
+        # inside a struct a missing region counts, as the first one
+        F.min(F.struct(F.col("participant_region").alias("region"))).alias("region"),
+        F.collect_set("language").alias("languages"),
+        F.collect_set("style").alias("styles"),
     )
 
 
@@ -89,30 +87,51 @@ def entity_profile(entries: DataFrame, entity: str = "country") -> DataFrame:
     and as long as the calendar is, not as the entity. Languages and styles are bounded by their code
     lists in the same way. The winning entries, which have no such bound, come from ``winner_parts``.
     """
-    yearly = _yearly(entries, entity)
-    profile = yearly.groupBy("entity").agg(
+    return _profile(_yearly(entries, entity))
+
+
+def _profile(yearly: DataFrame) -> DataFrame:
+    every = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+    return yearly.groupBy("entity").agg(
         F.sum("n").alias("participations"),
         F.sum("n_won").alias("wins"),
         F.bround(F.sum("place_sum") / F.sum("n_placed"), 1).alias("avg_place"),
         F.min("place_min").alias("best_place"),
-        F.collect_list(F.struct("year", "n")).alias("_year_counts"),
-        F.min(F.struct("year", "region"))["region"].alias("region"),
-        F.array_sort(F.collect_set("language")).alias("languages"),
-        F.array_sort(F.collect_set("style")).alias("styles"),
+        F.min(F.struct("year", "region"))["region"]["region"].alias("region"),
+        every("languages").alias("languages"),
+        every("styles").alias("styles"),
+        F.array_sort(F.collect_list(F.struct("year", "n"))).alias("years"),
     )
-    counts = F.col("_year_counts")
-    years = F.transform(
-        F.array_sort(F.array_distinct(counts["year"])),
-        lambda y: F.struct(
-            y.alias("year"),
-            F.aggregate(
-                F.filter(counts, lambda c: c["year"].eqNullSafe(y)),
-                F.lit(0).cast("long"),
-                lambda acc, c: acc + c["n"],
-            ).alias("n"),
-        ),
+
+
+def _combined(entries: DataFrame, entity: str) -> DataFrame:
+    """Entries grouped once for both the profile and the winners: winning ones by all they show, the others by year and codes.
+
+    Both sides read this one aggregate, whose exchange Spark reuses. ``n_won`` is no grouping key, so a filter on it stays above.
+    """
+    place = F.col("final_place")
+    won = F.coalesce(place == 1, F.lit(False))
+    return entries.groupBy(
+        F.col(entity).alias("entity"), "year", F.col("participant_region"), "language", "style",
+        F.when(won, F.col("song_name")).alias("song_name"), F.when(won, F.col("artist_name")).alias("artist_name"), won.alias("_won"),
+    ).agg(
+        F.count("*").alias("n"), F.count_if(place == 1).alias("n_won"), F.count(place).alias("n_placed"),
+        F.sum(place).alias("place_sum"), F.min(place).alias("place_min"),
+    )
+
+
+def _yearly_of(combined: DataFrame) -> DataFrame:
+    """As ``_yearly``, from ``_combined``."""
+    return combined.groupBy("entity", "year").agg(
+        F.sum("n").alias("n"),
+        F.sum("n_won").alias("n_won"),
+        F.sum("n_placed").alias("n_placed"),
+        F.sum("place_sum").alias("place_sum"),
+        F.min("place_min").alias("place_min"),
+        F.min(F.struct(F.col("participant_region").alias("region"))).alias("region"),
+        F.collect_set("language").alias("languages"),
+        F.collect_set("style").alias("styles"),
     )
-    return profile.withColumn("years", years).drop("_year_counts")
 
 
 def expand_years(years: Column) -> Column:
@@ -135,6 +154,16 @@ def winner_parts(
         .groupBy(F.col(entity).alias("entity"), *WINNER_FIELDS)
         .agg(F.count("*").alias("copies"))
     )
+    return _parts(won, per_part)
+
+
+def _winners_of(combined: DataFrame) -> DataFrame:
+    """Winning entries with their number of copies, from ``_combined``."""
+    won = combined.filter(F.col("n_won") > 0)
+    return won.groupBy("entity", *WINNER_FIELDS).agg(F.sum("n_won").alias("copies"))
+
+
+def _parts(won: DataFrame, per_part: int) -> DataFrame:
     by_year = won.groupBy("entity", "year").agg(F.sum("copies").alias("n"))
     per_entity = Window.partitionBy("entity")
     earlier = per_entity.orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
@@ -248,9 +277,10 @@ def entity_summary(
             piece("opening", zero, none), piece("list", zero, F.lit(1)), piece("closing", last, none)
         )
     )
-    profile = entity_profile(entries, entity).withColumn("piece", F.explode(pieces))
+    combined = _combined(entries, entity)
+    profile = _profile(_yearly_of(combined)).withColumn("piece", F.explode(pieces))
     # keys are compared null-safe: an entity without a name is an entity as well
-    winners = winner_parts(entries, entity, per_part).select(
+    winners = _parts(_winners_of(combined), per_part).select(
         F.col("entity").alias("_entity"),
         "part",
         F.when(F.col("part") == 0, 0).otherwise(1).alias("_slot"),
