@@ -81,11 +81,18 @@ def history_json(
     )
 
 
+def history_keys(summaries: DataFrame, limit: int = HISTORY_BYTES) -> Column:
+    """JSON that names the documents of ``history_json``: their numbers lie from ``first`` to ``last``."""
+    size = F.octet_length(_json(country=F.col("chunk_id"), stat=F.col("text"))) + 1
+    last = summaries.select(F.floor((F.sum(size) - 1) / limit).alias("last")).scalar()
+    return _json(table=F.lit("history_json"), first=F.lit(0), last=last)
+
+
 def dispatch(requests: DataFrame, summaries: DataFrame) -> DataFrame:
     """Answers of tool requests ``(request_id, name, arguments)``: ``(request_id, tool, part, output)``.
 
-    Lookups are answered by one join. A history request names the document set of ``history_json``, which
-    is built once and not copied into every answer. Unknown tools and missing arguments become text.
+    Lookups are answered by one join. A history request is answered with the keys of the documents of ``history_json``, which
+    are built once and not copied into every answer. Unknown tools and missing arguments become text.
     """
     parsed = requests.withColumn("_country", F.get_json_object("arguments", "$.country_name"))
     tool = F.col("name")
@@ -96,7 +103,7 @@ def dispatch(requests: DataFrame, summaries: DataFrame) -> DataFrame:
     )
     others = parsed.filter(~is_lookup)
     text = (
-        F.when(tool == HISTORY_TOOL, F.lit("history_json"))
+        F.when(tool == HISTORY_TOOL, history_keys(summaries))
         .when(
             tool == LOOKUP_TOOL,
             F.lit(f"Tool error: {LOOKUP_TOOL}() missing 1 required positional argument: 'country_name'"),

@@ -517,6 +517,7 @@ requests AS (
   SELECT event_id AS request_id, event_type, p_name || ' ' || p_partkey AS name
   FROM events LEFT JOIN part ON CAST(json_extract_string(props, '$.k') AS BIGINT) = p_partkey
 ),
+sized AS (SELECT strlen(CAST(json_object('country', chunk_id, 'stat', text) AS VARCHAR)) + 1 AS bytes FROM summaries),
 lookups AS (
   SELECT * FROM requests WHERE event_type IN ('view', 'click') AND name IS NOT NULL
 )
@@ -528,7 +529,9 @@ UNION ALL
 SELECT request_id,
   CASE event_type WHEN 'purchase' THEN 'predict_winner' WHEN 'error' THEN 'error' ELSE 'roast_country' END,
   NULL,
-  CASE event_type WHEN 'purchase' THEN 'history_json' WHEN 'error' THEN 'Unknown tool: error'
+  CASE event_type WHEN 'purchase' THEN (
+      SELECT CAST(json_object('table', 'history_json', 'first', 0, 'last', CAST((sum(bytes) - 1) // 65536 AS BIGINT)) AS VARCHAR) FROM sized
+    ) WHEN 'error' THEN 'Unknown tool: error'
     ELSE 'Tool error: roast_country() missing 1 required positional argument: ''country_name''' END
 FROM requests WHERE NOT (event_type IN ('view', 'click') AND name IS NOT NULL)""",
         "assistant_messages": "SELECT conv_id, turn, text FROM conversations WHERE role = 'assistant'",
@@ -538,6 +541,10 @@ FROM conversations WHERE role = 'assistant' GROUP BY conv_id""",
   CASE WHEN arg_max(role, turn) = 'assistant' THEN 'answered'
        WHEN count(*) >= 10 THEN 'max_iterations' ELSE 'open' END AS outcome
 FROM conversations GROUP BY conv_id""",
+        "binary_scan": "SELECT doc_id, lang, source, n_chars FROM documents",
+        "stored_papers": "SELECT doc_id, quality, toxic, 202501010000 AS processed, TRUE AS there FROM labels",
+        "output_messages": """SELECT conv_id, turn, text FROM conversations
+WHERE role = 'assistant' AND turn % 4 <> 3""",
         "csv_load": """SELECT l_orderkey AS orderkey, nullif(l_linenumber, 7) AS final_place,
   'He said "hi", twice' || chr(10) || l_returnflag AS language, l_extendedprice AS price FROM lineitem""",
         "record_load": f"""WITH {PAPERS}

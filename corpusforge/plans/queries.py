@@ -23,9 +23,10 @@ from corpusforge.operators import upsert as U
 from corpusforge.operators import vector_index as VI
 from corpusforge.plans import standins as si
 from corpusforge.plans.standins import Tables
-from corpusforge.scaling import shared_folder
+from corpusforge.scaling import cut_lineage, shared_folder
 from corpusforge.schemas import DOCUMENT
 from corpusforge.sources import files
+from corpusforge.sources import tables as TB
 from corpusforge.streaming import incremental as INC
 from corpusforge.streaming import index_sync as ISY
 
@@ -460,8 +461,39 @@ def record_load(t: Tables) -> DataFrame:
 
 @query
 def binary_scan(t: Tables) -> DataFrame:
-    scanned = files.read_binary(t.spark, t.folder, "*.parquet")
-    return scanned.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
+    """Documents without their texts, written as files of records and read back from the whole files' bytes."""
+    folder = shared_folder(t.spark, "documents-files")
+    t.documents.select("doc_id", "lang", "source", "n_chars").write.json(folder)
+    content = F.decode("content", "UTF-8")
+    lines = files.read_binary(t.spark, folder, "*.json").select(F.explode(F.split(content, "\n")).alias("line"))
+    record = F.from_json("line", "doc_id LONG, lang STRING, source STRING, n_chars LONG").alias("r")
+    return lines.filter("line <> ''").select(record).select("r.*")
+
+
+@query
+def stored_papers(t: Tables) -> DataFrame:
+    """A schema and a table that are there already, papers of one run inserted by key twice, and a table that is kept."""
+    schema = f"papers_{uuid.uuid4().hex}"
+    name, kept = f"{schema}.papers", f"{schema}.kept"
+    new = t.labels.withColumn("processed", F.lit(si.RUN_ID))
+    for _ in range(2):
+        TB.ensure_schema(t.spark, schema)
+        TB.ensure_table(t.spark, name, "doc_id LONG, quality INT, toxic INT, processed LONG")
+        TB.insert_new(new, name, "doc_id")
+    there = t.spark.catalog.tableExists(name) and not t.spark.catalog.tableExists(kept)
+    TB.create_if_absent(t.spark.table(name).limit(0), kept)
+    TB.create_if_absent(t.spark.table(name), kept)
+    missing = t.spark.table(name).join(t.spark.table(kept), "doc_id", "left_anti")
+    result = cut_lineage(missing.filter(F.col("processed") == si.RUN_ID).withColumn("there", F.lit(there)))
+    t.spark.sql(f"DROP SCHEMA {schema} CASCADE")
+    return result
+
+
+@query
+def output_messages(t: Tables) -> DataFrame:
+    """The finished messages among the events that an agent streams."""
+    done = V.output_messages(si.stream_events(t))
+    return done.select("conv_id", "turn", F.col("item.text").alias("text"))
 
 
 @query

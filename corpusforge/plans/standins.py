@@ -201,6 +201,13 @@ def lookup_requests(t: Tables) -> DataFrame:
     return t.part.select(typed.alias("name")).unionByName(t.supplier.select(F.col("s_name").alias("name")))
 
 
+def stream_events(t: Tables) -> DataFrame:
+    """Conversation rows as the events of a stream: assistants' items, finished or begun, messages or tool calls."""
+    kind = F.when(F.col("turn") % 4 == 3, "function_call").otherwise("message")
+    step = F.when(F.col("role") == "assistant", "response.output_item.done").otherwise("response.output_item.added")
+    return t.conversations.select("conv_id", "turn", step.alias("type"), F.struct(kind.alias("type"), "text").alias("item"))
+
+
 def mixed_answers(t: Tables) -> DataFrame:
     """Assistant messages as JSON of the forms that an agent gives answers in."""
     item = F.struct(F.lit("message").alias("type"), "text")
