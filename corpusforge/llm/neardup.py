@@ -9,8 +9,10 @@
 4. Survivors are verified on their full shingle sets.
 
 A bucket is never expanded into its pairs. First every member meets the smallest member of its bucket only. The links
-found give provisional components; only buckets that still hold several components are compared further, block by
-block inside tasks, members of one component never with each other, and a pair only in the first band it shares.
+found give provisional components; only buckets that still hold several components are compared further, members of one
+component never with each other. The members outside the main component of a bucket are few as a rule: within ``SCAN_BYTES`` they
+are sent to all tasks, and every row of such buckets is read once and meets those that share a band with it. Where they are more,
+buckets are compared block by block, a pair only in the first band it shares. Both ways find the same components.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ BANDS, ROWS = 32, 4
 COARSE = BANDS * ROWS
 FINE, BATCH = 1024, 64
 BLOCK = 512
+SCAN_BYTES = 32 << 20  # members that are sent to all tasks, with signatures and sets
 FEW = 16  # buckets of so few members are compared pair by pair, larger ones block by block
 
 Batches = Iterator[pa.RecordBatch]
@@ -222,6 +225,67 @@ def block_links(cut: np.ndarray, percent: int) -> Callable[[pa.Table], pa.Table]
     return run
 
 
+class _Others:
+    """The members outside the main components of their buckets, found by the value of any band."""
+
+    def __init__(self, table: pa.Table):
+        self.keys = table["key"].to_pylist()
+        self.labels = table["label"].to_pylist()
+        self.fine = bytes_matrix(table["fine"].combine_chunks(), np.uint8, FINE)
+        self.sets = table["shingles"].combine_chunks()
+        bands = bytes_matrix(table["signature"].combine_chunks(), np.uint64, BANDS)
+        self.order = np.argsort(bands, axis=0, kind="stable")
+        self.values = np.take_along_axis(bands, self.order, axis=0)
+
+    def sharing(self, bands: np.ndarray) -> np.ndarray:
+        """Numbers of those that share a band with one row, each once."""
+        found = []
+        for b in range(BANDS):
+            low, high = np.searchsorted(self.values[:, b], bands[b], "left"), np.searchsorted(self.values[:, b], bands[b], "right")
+            if low < high:
+                found.append(self.order[low:high, b])
+        return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
+
+
+def scan_links(shared, cut: np.ndarray, percent: int) -> Callable[[Batches], Batches]:
+    """Links of rows (key, label, signature, fine, shingles) to the others, across components only, as many as connect them."""
+
+    def run(batches: Batches) -> Batches:
+        others = _Others(shared.value)
+        number = {label: n for n, label in enumerate(dict.fromkeys(others.labels))}
+        component = np.array([number[label] for label in others.labels])
+        merged: dict[int, int] = {}
+
+        def root(n: int) -> int:
+            while n in merged:
+                n = merged[n]
+            return n
+
+        for batch in batches:
+            bands = bytes_matrix(batch.column("signature"), np.uint64, BANDS)
+            fine = bytes_matrix(batch.column("fine"), np.uint8, FINE)
+            labels = batch.column("label").to_pylist()
+            found: tuple[list, list] = ([], [])
+            for y in range(batch.num_rows):
+                near = others.sharing(bands[y])
+                if not len(near):
+                    continue
+                own = root(number.setdefault(labels[y], len(number)))
+                near = near[component[near] != own]
+                alive = survivors(others.fine, fine, near, np.full(len(near), y), cut)
+                words = np.frombuffer(batch.column("shingles")[y].as_py(), np.uint64)
+                for x in near[alive].tolist():
+                    if component[x] != own and linked(np.frombuffer(others.sets[x].as_py(), np.uint64), words, percent):
+                        joined = component[x]
+                        merged[int(joined)] = own
+                        component[component == joined] = own
+                        found[0].append(others.keys[x])
+                        found[1].append(batch.column("key")[y].as_py())
+            yield pa.RecordBatch.from_arrays([pa.array(f, pa.binary()) for f in found], ["a", "b"])
+
+    return run
+
+
 def _pairs_with(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
     for side in ("a", "b"):
         own = sets.select(F.col("key").alias(side), F.col(column).alias(f"{column}_{side}"))
@@ -314,6 +378,14 @@ def class_links(
 
     large = labelled.filter(F.col("n") > FEW)
     sides = large.join(centers, "bucket").withColumn("right", F.col("label") == F.col("main"))
+    others = stored(sides.filter(~F.col("right")).select("key", "label").distinct().join(sets, "key"), "others")
+    weight = F.octet_length("shingles") + FINE + COARSE * 2 + 64
+    if (others.agg(F.sum(weight)).first()[0] or 0) <= SCAN_BYTES:
+        shared = texts.sparkSession.sparkContext.broadcast(others.toArrow())
+        split = sides.filter(~F.col("right")).select("bucket").distinct()
+        touched = sides.join(split, "bucket", "left_semi").select("key", "label").distinct().join(sets, "key")
+        more = touched.mapInArrow(wa.tidy(scan_links(shared, cut, percent)), pair_schema)
+        return first.union(stored(links_of(crossing).union(more), "verified"))
     sizes = sides.groupBy("bucket").agg(
         F.ceil(F.sum((~F.col("right")).cast("long")) / BLOCK).alias("n_left"),
         F.ceil(F.sum(F.col("right").cast("long")) / BLOCK).alias("n_right"),
