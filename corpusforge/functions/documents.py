@@ -59,16 +59,23 @@ def decode_entities(text: Column) -> Column:
     """Character references as characters; what is none, or names no character, stays as it is."""
     named = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
 
+    def character(name: Column) -> Column:
+        """The character of a reference, null if it names none."""
+        hexadecimal = F.lower(F.substring(name, 2, 1)) == "x"
+        number = F.when(hexadecimal, F.conv(F.substring(name, 3, 6), 16, 10)).otherwise(F.substring(name, 2, 7)).try_cast("int")
+        numeric = let(
+            number,
+            lambda code: F.when(
+                code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+            ),
+        )
+        return F.when(F.startswith(name, F.lit("#")), numeric).when(name != "", F.try_element_at(named, name))
+
     def decoded(piece: Column) -> Column:
         name = F.regexp_extract(piece, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
-        digits = F.substring(name, 2, 8)
-        hexadecimal = F.lower(F.left(digits, F.lit(1))) == "x"
-        code = F.when(hexadecimal, F.conv(F.substring(digits, 2, 7), 16, 10)).otherwise(digits).try_cast("int")
-        sound = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        numeric = F.when(sound, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-        char = F.when(F.startswith(name, F.lit("#")), numeric).when(name != "", F.try_element_at(named, name))
-        rest = F.substring(piece, F.char_length(name) + 2, F.char_length(piece))
-        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
+        # inside a lambda nothing is worked out once for several places but by ``let``
+        joined = let(name, lambda n: F.concat(character(n), F.substring(piece, F.char_length(n) + 2, F.char_length(piece))))
+        return F.coalesce(joined, F.concat(F.lit("&"), piece))
 
     def whole(pieces: Column) -> Column:
         later = F.transform(F.slice(pieces, 2, F.size(pieces)), decoded)
@@ -106,40 +113,57 @@ def page_content(html: Column | str) -> Column:
 
 
 def page_sections(html: Column | str) -> Column:
+    """``content_sections`` of a page."""
+    return content_sections(page_content(html))
+
+
+def content_sections(content: Column) -> Column:
     """``array<struct<level, path, section_title, text>>``: the sections with text, in document order.
 
     A heading opens a section of its level, which holds the text up to the next heading of any level; ``path`` is the titles of the
     sections around it and its own. Text ahead of the first heading is a section of level 0 without a title.
     """
-    marked = F.regexp_replace(page_content(html), r"(?i)<h([1-6][ \t\n\f\r/>])", f"{_MARK}<h$1")
+    marked = F.regexp_replace(content, r"(?i)<h([1-6][ \t\n\f\r/>])", f"{_MARK}<h$1")
+    opening = r"(?is)^<h[1-6](?:[ \t\n\f\r/][^>]*)?>"
 
     def parsed(part: Column, i: Column) -> Column:
-        closing = F.regexp_extract(part, r"(?is)^(.*?</h[1-6][ \t\n\f\r]*>)", 1)
-        title = _inline_text(F.regexp_replace(closing, r"(?is)^<h[1-6](?:[ \t\n\f\r/][^>]*)?>", ""))
+        def headed(closing: Column) -> Column:
+            title = F.when(i == 0, "").otherwise(_inline_text(F.regexp_replace(closing, opening, "")))
+            body = F.when(i == 0, part).otherwise(F.substring(part, F.char_length(closing) + 1, F.char_length(part)))
+            return F.struct(level.alias("level"), title.alias("title"), _block_text(body).alias("text"))
+
         level = F.when(i == 0, 0).otherwise(F.substring(part, 3, 1).try_cast("int"))
-        body = F.when(i == 0, part).otherwise(F.substring(part, F.char_length(closing) + 1, F.char_length(part)))
-        return F.struct(level.alias("level"), F.when(i == 0, "").otherwise(title).alias("title"), _block_text(body).alias("text"))
+        return let(F.regexp_extract(part, r"(?is)^(.*?</h[1-6][ \t\n\f\r]*>)", 1), headed)
 
     def nested(state: Column, one: Column) -> Column:
-        around = F.filter(state["open"], lambda o: o["level"] < one["level"])
-        opened = F.concat(around, F.array(F.struct(one["level"].alias("level"), one["title"].alias("title"))))
-        path = F.transform(F.filter(opened, lambda o: o["level"] > 0), lambda o: o["title"])
-        section = F.struct(one["level"].alias("level"), path.alias("path"), one["title"].alias("section_title"), one["text"].alias("text"))
-        return F.struct(
-            F.when(one["level"] > 0, opened).otherwise(state["open"]).alias("open"),
-            F.when(one["text"] != "", F.concat(state["done"], F.array(section))).otherwise(state["done"]).alias("done"),
+        here = F.struct(one["level"].alias("level"), one["title"].alias("title"))
+        opened = F.concat(F.filter(state["open"], lambda o: o["level"] < one["level"]), F.array(here))
+        return let(
+            F.when(one["level"] > 0, opened).otherwise(state["open"]),
+            lambda around: F.struct(
+                around.alias("open"), F.concat(state["paths"], F.array(F.transform(around, lambda o: o["title"]))).alias("paths")
+            ),
         )
 
     start = F.struct(
-        F.array().cast("array<struct<level:int,title:string>>").alias("open"),
-        F.array().cast("array<struct<level:int,path:array<string>,section_title:string,text:string>>").alias("done"),
+        F.array().cast("array<struct<level:int,title:string>>").alias("open"), F.array().cast("array<array<string>>").alias("paths")
     )
-    return F.aggregate(F.transform(F.split(marked, _MARK, -1), parsed), start, nested, lambda s: s["done"])
+
+    def with_paths(parts: Column) -> Column:
+        titles = F.transform(parts, lambda p: F.struct(p["level"].alias("level"), p["title"].alias("title")))
+        paths = F.aggregate(titles, start, nested, lambda s: s["paths"])
+        zipped = F.zip_with(
+            parts, paths,
+            lambda p, path: F.struct(p["level"].alias("level"), path.alias("path"), p["title"].alias("section_title"), p["text"].alias("text")),
+        )
+        return F.filter(zipped, lambda s: s["text"] != "")
+
+    return let(F.transform(F.split(marked, _MARK, -1), parsed), with_paths)
 
 
-def heading(html: Column | str) -> Column:
-    """Text of the first heading of level 1, empty if there is none."""
-    return _inline_text(F.regexp_extract(page_content(html), f"(?is)<h1{_TAG_END}(.*?)</h1", 1))
+def heading(content: Column) -> Column:
+    """Text of the first heading of level 1 of a page's content, empty if there is none."""
+    return _inline_text(F.regexp_extract(content, f"(?is)<h1{_TAG_END}(.*?)</h1", 1))
 
 
 def page_summary(sections: Column) -> Column:

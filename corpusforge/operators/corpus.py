@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusforge.functions import text as tx
 from corpusforge.functions.dates import stamp_day, stamp_month, stamp_year
-from corpusforge.functions.documents import heading, page_sections, page_summary, page_title, text_elements
+from corpusforge.functions.documents import content_sections, heading, page_content, page_summary, page_title, text_elements
 from corpusforge.scaling import sized
 
 
@@ -36,21 +36,24 @@ def pages_for_keys(pages: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 def section_chunks(
     pages: DataFrame, key: str = "page_id", html: str = "html", size: int = tx.CHUNK_SIZE,
-    unique_ids: bool = False, parser: Callable[[Column], Column] = page_sections,
-    titled: Callable[[Column], Column] = heading,
+    unique_ids: bool = False, content: Callable[[Column], Column] = page_content,
+    parser: Callable[[Column], Column] = content_sections, titled: Callable[[Column], Column] = heading,
 ) -> DataFrame:
     """Chunks of every section with text of every page, in document order, with page title and summary on each.
 
-    ``parser`` turns the page column, text or bytes, into ``array<struct<level, path, section_title, text>>``, ``titled`` into its title.
+    ``content`` takes what matters from the page column, text or bytes; ``parser`` turns it into
+    ``array<struct<level, path, section_title, text>>`` and ``titled`` into the page's title.
     The chunk id is key, section title and position in the section; sections of one page that share a
     title share ids, unless ``unique_ids`` adds the section number. Text ahead of all headings goes by the page's title.
     """
     page_cols = [c for c in pages.columns if c != html]
-    parsed = pages.select(*page_cols, titled(F.col(html)).alias("title"), parser(F.col(html)).alias("_sections"))
-    sections = parsed.select(
-        *page_cols, "title", page_summary(F.col("_sections")).alias("summary"),
-        F.posexplode_outer("_sections").alias("section_idx", "section"),
-    ).filter(F.col("section").isNotNull())
+    # step by step: what is used twice is a column first, and nothing is left to be worked out behind the explode
+    cleaned = pages.select(*page_cols, content(F.col(html)).alias("_content"))
+    parsed = cleaned.select(*page_cols, titled(F.col("_content")).alias("title"), parser(F.col("_content")).alias("_sections"))
+    summed = parsed.select(*page_cols, "title", page_summary(F.col("_sections")).alias("summary"), "_sections")
+    sections = summed.select(
+        *page_cols, "title", "summary", F.posexplode_outer("_sections").alias("section_idx", "section")
+    ).filter(F.col("section").isNotNull())
     own = F.col("section.section_title")
     chunks = explode_chunks(
         sections.select(

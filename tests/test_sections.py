@@ -78,11 +78,10 @@ def test_chunks_carry_title_summary_and_path(spark):
 
 def test_the_parser_is_an_argument(spark):
     df = spark.createDataFrame([(1, bytearray(b"<article><h1>T</h1>caf\xc3\xa9</article>"))], "page_id long, html binary")
-    decoded = lambda fn: lambda c: fn(F.decode(c, "UTF-8"))
-    chunks = C.section_chunks(df, parser=decoded(doc.page_sections), titled=decoded(doc.heading)).collect()
+    chunks = C.section_chunks(df, content=lambda c: doc.page_content(F.decode(c, "UTF-8"))).collect()
     assert [(r["title"], r["text"]) for r in chunks] == [("T", "café")]
     lines = lambda c: F.transform(
         F.split(c, "\n"), lambda t, i: F.struct(F.lit(2).alias("level"), F.array(t).alias("path"), t.alias("section_title"), t.alias("text"))
     )
     plain = spark.createDataFrame([(1, "a\nb")], "page_id long, html string")
-    assert [r["chunk_id"] for r in C.section_chunks(plain, parser=lines).orderBy("section_idx").collect()] == ["1_a_0", "1_b_0"]
+    assert [r["chunk_id"] for r in C.section_chunks(plain, content=lambda c: c, parser=lines).orderBy("section_idx").collect()] == ["1_a_0", "1_b_0"]
