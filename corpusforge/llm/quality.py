@@ -124,12 +124,14 @@ def threshold(ranked: DataFrame, k: int) -> int:
 
 def resample(
     docs: DataFrame, labels: DataFrame, margin: float = MARGIN, noise: float = 1.0, seed: int = 3,
-    id_column: str = "doc_id", text_column: str = "text", good: str = "quality",
+    id_column: str = "doc_id", text_column: str = "text", good: str = "quality", share: float | None = None, count: int | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, log_weight, gumbel_key, kept.
 
-    ``labels`` (id, ``good`` 0 or 1) names target documents. The sample holds as many documents as there are rows
-    whose weight is at least ``margin``; the largest keys, weight plus ``noise`` times Gumbel noise, fill it.
+    ``labels`` (id, ``good`` 0 or 1) names target documents. The sample holds ``count`` documents, or the ``share`` of all, or else
+    as many as there are rows whose weight is at least ``margin``; the largest keys, weight plus ``noise`` times Gumbel noise, fill it. So a
+    document is drawn in proportion to ``exp(weight / noise)``. Log weights spread over hundreds: with a noise of 1 the draw is nearly their order,
+    and a noise of their own spread samples among good and middling documents.
     Rows with equal keys at the limit are all kept. Null and empty texts weigh 0. Rows without id get the noise of
     id null. Without any labelled row all weights are 0. No rows give no rows.
     """
@@ -147,7 +149,11 @@ def resample(
         ),
         "weights",
     )
-    k = ranked.filter(F.col("log_weight") >= margin).count()
+    if count is None and share is None:
+        k = ranked.filter(F.col("log_weight") >= margin).count()
+    else:
+        n = ranked.count()
+        k = min(n, count if count is not None else int(n * share))
     limit = threshold(ranked, k) if k else None
     kept = F.col("rank") >= limit if k else F.lit(False)
     return ranked.select("doc_id", "log_weight", "gumbel_key", kept.alias("kept"))

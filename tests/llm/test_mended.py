@@ -6,9 +6,10 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from corpusforge.llm import mixing, neardup, vectors, warc
+from corpusforge.llm import mixing, neardup, quality, vectors, warc
 from tests.llm.helpers import documents, edge_rows, words
 
 PAGES = "page_id long, url string, html string"
@@ -154,3 +155,57 @@ def test_vectors_over_many_lists(spark):
     assert len(unit) // vectors.LIST_ROWS >= 50
     assert (found <= want).all() and found.sum() >= 0.99 * want.sum()
     print("recall", found.sum() / want.sum())
+
+
+def drawn_texts(n=160):
+    rng = random.Random(4)
+    good, bad = [f"good{i}" for i in range(40)], [f"junk{i}" for i in range(40)]
+    shares = [i / (n - 1) for i in range(n)]
+    return [" ".join(rng.choice(good if rng.random() < s else bad) for _ in range(60)) for s in shares]
+
+
+class Shared:
+    def __init__(self, value):
+        self.value = value
+
+
+def test_inclusion_rates_follow_the_weights():
+    """Gumbel top-k over many seeds against a sampler that draws one document after the other."""
+    texts = drawn_texts()
+    n, k, seeds = len(texts), 40, 400
+    ones = lambda some: pa.RecordBatch.from_arrays([pa.array(some)], ["text"])
+
+    def counts(some):
+        out = np.zeros((quality.KINDS, quality.BUCKETS))
+        for b in quality.count_ngrams(iter([ones(some)])):
+            out[b["kind"].to_numpy(), b["cell"].to_numpy()] = b["n"].to_numpy()
+        return out
+
+    ratios = Shared(quality.log_ratios(counts(texts[-40:]), counts(texts)))
+    hashes = np.random.default_rng(1).integers(-(2**62), 2**62, n)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(texts), pa.array(hashes)], ["doc_id", "text", "h"])
+
+    def keys(seed, noise, column):
+        return next(quality.weigh(ratios, seed, noise)(iter([batch])))[column].to_numpy()
+
+    weights = keys(0, 0.0, "log_weight")
+    noise = weights.std() / 1.5
+    included = np.zeros(n)
+    for seed in range(seeds):
+        included[np.argsort(-keys(seed, noise, "gumbel_key"))[:k]] += 1 / seeds
+    rng, p = np.random.default_rng(2), np.exp((weights - weights.max()) / noise)
+    wanted = np.zeros(n)
+    for _ in range(seeds * 5):
+        wanted[rng.choice(n, k, replace=False, p=p / p.sum())] += 1 / (seeds * 5)
+    assert np.abs(included - wanted).max() < 0.13 and np.abs(included - wanted).mean() < 0.03
+    assert included[:40].mean() < 0.1 < included[60:100].mean() < 0.9 and included[-40:].mean() > 0.5
+
+
+def test_samples_have_the_size_asked_for(spark):
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(drawn_texts())]
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(i, int(i >= 120)) for i in range(160)], "doc_id long, quality int")
+    draw = lambda **how: {r["doc_id"] for r in quality.resample(docs, labels, **how).filter("kept").collect()}
+    some = draw(share=0.25, noise=300.0)
+    assert len(some) == 40 and some != draw(share=0.25, noise=300.0, seed=8) and some == draw(count=40, noise=300.0)
+    assert len(draw(count=10_000)) == 160 and draw(count=0) == set()

@@ -55,3 +55,40 @@ def test_stages_take_odd_rows(spark, small):
         for _, stage in corpus_pipeline.STAGES[1:]:
             docs = stage(spark, docs, small)
         assert (docs.count() > 0) == bool(rows)
+
+
+NAMES = (
+    "kept_id", "kept", "component_id", "label", "key", "bucket", "n", "copies", "copy", "mixed_id", "size", "target", "taken", "extra", "cell", "h",
+    "n_removed", "n_words", "factors", "kept_text", "kept_sha256", "phrase", "start", "starts", "aside_0", "aside_7", "rank", "log_weight", "sequence_id",
+    "offset", "length", "start_", "doc_tokens", "ids_crc32", "source_size",
+)
+
+
+def test_stages_carry_columns_of_any_name(spark, small):
+    from tests.llm.helpers import SCHEMA, edge_rows
+
+    plain = docs = spark.createDataFrame(edge_rows(), SCHEMA)
+    for i, name in enumerate(NAMES):
+        docs = docs.selectExpr("*", f"concat('{i}/', coalesce(doc_id, -1)) AS `{name}`")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        columns = docs.columns
+        plain, docs = stage(spark, plain, small), stage(spark, docs, small)
+        assert docs.columns == columns
+    rows = docs.collect()
+    for r in rows:
+        for i, name in enumerate(NAMES):
+            assert r[name] == f"{i}/{-1 if r['doc_id'] is None else r['doc_id']}"
+    assert sorted(map(str, ((r["doc_id"], r["text"], r["source"]) for r in rows))) == sorted(
+        map(str, ((r["doc_id"], r["text"], r["source"]) for r in plain.collect()))
+    )
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, small).count() > 0
+
+
+def test_quality_takes_odd_rows(spark, small):
+    from tests.llm.helpers import SCHEMA, edge_rows
+
+    stage = dict(corpus_pipeline.STAGES)["quality"]
+    assert stage(spark, spark.createDataFrame([], SCHEMA), small).count() == 0
+    rows = [(None, None, None, None, None), (1, None, "en", "a", 0), (2, "", "en", "a", 0), (2, "", "en", "a", 0), *edge_rows()]
+    got = stage(spark, spark.createDataFrame(rows, SCHEMA), small).collect()
+    assert {r["doc_id"] for r in got} >= {None, 1, 2} and len([r for r in got if r["doc_id"] == 2]) == 2
