@@ -61,14 +61,36 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
+_FOLDERS: list[str] = []
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """A fresh folder below ``spark.checkpoint.dir``; a temporary one only where that is unset. See ``release``."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="corpusforge-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _FOLDERS.append(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _FOLDERS[-1]
+
+
+def folders_named() -> list[str]:
+    """The folders that ``shared_folder`` has named and ``release`` has not deleted, oldest first."""
+    return list(_FOLDERS)
+
+
+def release(spark: SparkSession, keep: list[str] | None = None, since: int = 0) -> None:
+    """Delete the named folders after the first ``since``, but for those to ``keep``.
+
+    For the end of a job whose result is written: frames that still read such a folder fail afterwards.
+    """
+    held = [f for f in _FOLDERS[since:] if f in (keep or [])]
+    for folder in _FOLDERS[since:]:
+        if folder not in held:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    _FOLDERS[since:] = held
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusforge.operators import corpus as C
 from corpusforge.plans.refresh import CorpusRefresh, Landed
-from corpusforge.scaling import cut_lineage, fits, salted_join, shared_folder
+from corpusforge.scaling import cut_lineage, fits, folders_named, release, salted_join, shared_folder
 from corpusforge.streaming import incremental as INC
 
 DOC = "doc_id long, text string"
@@ -107,3 +107,16 @@ def test_salted_join_equals_plain_join(spark):
     right = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k long, v string")
     salted = salted_join(left, right, "k", F.col("id"), 7).select("id", "k", "v")
     assert sorted(salted.collect()) == sorted(left.join(right, "k").select("id", "k", "v").collect())
+
+
+def test_folders_of_a_job_are_released(spark):
+    spark.range(3).write.parquet(shared_folder(spark, "before"))
+    since = len(folders_named())
+    paths = [shared_folder(spark, n) for n in ("one", "two", "three")]
+    for path in paths[:2]:
+        spark.range(5).write.parquet(path)
+    kept = spark.read.parquet(paths[1])
+    release(spark, paths[1:2], since)
+    assert folders_named()[since:] == paths[1:2] and kept.count() == 5
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(paths[0])
