@@ -352,6 +352,18 @@ def keyword_topk(
     return _rank_hits(wanted, hits, corpus_totals(corpus, text), k, small)
 
 
+def keyword_scores(
+    queries: DataFrame, corpus: DataFrame, filters: dict | None = None, qid: str = "qid", id: str = "id", text: str = "text"
+) -> DataFrame:
+    """``(qid, id, score)`` of every text that holds a word of a query: what ``keyword_topk`` ranks."""
+    corpus = with_filters(corpus, filters)
+    wanted = query_terms(queries, qid, text)
+    small = fits(wanted)
+    terms = wanted.select("term").distinct()
+    hits = _counted(join_lookup(_words(corpus, id, text), terms, "term", F.col("id"), small))
+    return _score_hits(wanted, hits, corpus_totals(corpus, text), small)
+
+
 def word_index(corpus: DataFrame, id: str = "id", text: str = "text") -> DataFrame:
     """Words counted per text, for storage partitioned by ``bucket`` next to ``corpus_totals``."""
     return _counted(_words(corpus, id, text)).withColumn("bucket", word_bucket())
@@ -380,7 +392,12 @@ def indexed_topk(
 def _rank_hits(
     wanted: DataFrame, hits: DataFrame, totals: DataFrame, k: int, small: bool
 ) -> DataFrame:
-    """Score counted words and keep the best texts per query.
+    """Score counted words and keep the best texts per query."""
+    return top_k(_score_hits(wanted, hits, totals, small), k)
+
+
+def _score_hits(wanted: DataFrame, hits: DataFrame, totals: DataFrame, small: bool) -> DataFrame:
+    """Scores of all texts with counted words.
 
     What is shuffled grows with the matching words and not with queries times texts: the queries are
     multiplied in after the words of a text have come together, and the top-k cut precedes the last exchange.
@@ -393,12 +410,11 @@ def _rank_hits(
         "id", "term", weight.alias("weight")
     )
     # one exchange brings the words of a text together, the per-query sums reuse it
-    scored = (
+    return (
         join_lookup(weighted.repartition("id"), wanted, "term", F.col("id"), small)
         .groupBy("qid", "id")
         .agg(F.round(F.sum("weight"), SCORE_DIGITS).alias("score"))
     )
-    return top_k(scored, k)
 
 
 def bm25(tf: Column, df: Column, n_words: Column, n_texts: Column, avg_words: Column) -> Column:
@@ -421,6 +437,112 @@ def fuse(rankings: list[DataFrame], k: int = 5) -> DataFrame:
     return top_k(fused, k)
 
 
+def hybrid_exact(
+    queries: DataFrame, corpus: DataFrame, k: int = 5, filters: dict | None = None,
+    id: str = "id", text: str = "text", vector: str = "embedding",
+) -> DataFrame:
+    """Fusion of the two whole rankings, without a depth: ``(qid, id, score, rank)``.
+
+    A text among the first ``k`` of either ranking scores at least ``1 / (RRF_K + k)``. One that is behind place
+    ``2 k + RRF_K`` in both scores less, so the candidates are those before it. A candidate's place in the other ranking, however far
+    down, is counted: how many texts come ahead of it.
+    """
+    depth = 2 * k + RRF_K
+    corpus = with_filters(corpus, filters)
+    near = vector_topk(queries, corpus, depth, None, "qid", id, vector).select("qid", "id", F.lit("v").alias("kind"), "rank")
+    hits = cut_lineage(keyword_scores(queries, corpus, None, "qid", id, text))
+    said = top_k(hits, depth).select("qid", "id", F.lit("w").alias("kind"), "rank")
+    known = cut_lineage(near.unionByName(said))
+    pairs = known.groupBy("qid", "id").agg(F.collect_set("kind").alias("kinds")).filter(F.size("kinds") == 1)
+    lacking = lambda kind: pairs.filter(~F.array_contains("kinds", kind)).select("qid", "id")
+    by_vector = _vector_places(lacking("v"), queries, corpus, id, vector)
+    by_word = _places(lacking("w").join(hits, ["qid", "id"]), hits)
+    votes = known.select("qid", "id", "rank").unionByName(by_vector).unionByName(by_word)
+    return fuse([votes], k)
+
+
+def _places(candidates: DataFrame, scored: DataFrame) -> DataFrame:
+    """``(qid, id, rank)`` of candidates ``(qid, id, score)`` among all ``scored`` rows of their query.
+
+    The candidates of a query travel as one sorted array; a scored row counts how many of them it is ahead of, and only these counts are
+    shuffled.
+    """
+    place = F.struct((-F.col("score")).alias("s"), F.col("id").alias("i"))
+    listed = candidates.groupBy(F.col("qid").alias("_qid")).agg(F.array_sort(F.collect_list(place)).alias("_list"))
+    listed = cut_lineage(listed)
+    small = F.broadcast(listed) if fits(listed) else listed
+    joined = scored.join(small, F.col("qid").eqNullSafe(F.col("_qid")))
+    behind = F.size(F.filter("_list", lambda c: c > place))
+    counts = joined.groupBy("qid", behind.alias("behind")).agg(F.count("*").alias("n")).filter("behind > 0")
+    size = F.size("_list")
+    each = listed.select("_qid", size.alias("m"), F.posexplode("_list").alias("at", "c"))
+    # the last ``behind`` of the sorted candidates come after such a row
+    ahead = each.join(counts, F.col("_qid").eqNullSafe(F.col("qid")) & (F.col("behind") >= F.col("m") - F.col("at")), "left")
+    ranks = ahead.groupBy(F.col("_qid").alias("qid"), F.col("c.i").alias("id")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    return ranks.select("qid", "id", (F.col("n") + 1).cast("int").alias("rank"))
+
+
+def _vector_places(pairs: DataFrame, queries: DataFrame, corpus: DataFrame, id: str, vector: str) -> DataFrame:
+    """``(qid, id, rank)`` of the pairs in the whole vector rankings of their queries; pairs without comparable vectors have none."""
+    asked = queries.filter(F.col(vector).isNotNull()).select("qid", F.col(vector).cast("array<double>").alias("_q"))
+    rows = corpus.filter(F.col(vector).isNotNull()).select(F.col(id).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
+    met = rows.join(sized(pairs), "id").join(asked, "qid").filter(F.size("_q") == F.size("vector"))
+    product = F.aggregate(F.zip_with("_q", "vector", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    candidates = cut_lineage(met.select("qid", "id", F.round(product, SCORE_DIGITS).alias("score")).filter("not isnan(score)"))
+    table = candidates.join(asked, "qid").toArrow()  # at most twice the depth for each query
+    counts = _ahead(rows, table) if table.num_rows else None
+    if counts is None:
+        return candidates.select("qid", "id", F.lit(1).alias("rank"))
+    ranks = candidates.sparkSession.createDataFrame(table.select(["qid", "id"]).append_column("_at", pa.array(range(table.num_rows))))
+    summed = counts.groupBy("at").agg(F.sum("n").alias("n"))
+    joined = ranks.join(F.broadcast(summed), F.col("_at") == F.col("at"), "left")
+    return joined.select("qid", "id", (F.coalesce("n", F.lit(0)) + 1).cast("int").alias("rank"))
+
+
+def _ahead(rows: DataFrame, candidates: pa.Table) -> DataFrame:
+    """``(at, n)``: for the candidate in each row of the table, how many vectors of a task come ahead of it."""
+    groups: dict[tuple, list[int]] = {}
+    for at, q in enumerate(candidates.column("qid").to_pylist()):
+        groups.setdefault(q, []).append(at)
+    vectors = [np.array(candidates.column("_q")[of[0]].as_py(), float) for of in groups.values()]
+    members = [np.array(of) for of in groups.values()]
+    scores = candidates.column("score").to_numpy()
+    ids = sortable(candidates.column("id").combine_chunks())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros(len(scores), np.int64)
+        for batch in batches:
+            for length, at in by_length(batch.column("vector")):
+                asking = [n for n, v in enumerate(vectors) if len(v) == length]
+                if not asking:
+                    continue
+                taken = pa.array(at)
+                own = np.round(matrix_of(batch.column("vector").take(taken)) @ np.array([vectors[n] for n in asking]).T, SCORE_DIGITS)
+                names = sortable(batch.column("id").take(taken))
+                for column, n in enumerate(asking):
+                    found = own[:, column]
+                    found, known = found[np.isfinite(found)], names[np.isfinite(found)]
+                    order = np.argsort(found, kind="stable")
+                    sorted_scores = found[order]
+                    mine = scores[members[n]]
+                    low, high = np.searchsorted(sorted_scores, mine, "left"), np.searchsorted(sorted_scores, mine, "right")
+                    totals[members[n]] += len(found) - high
+                    for k in np.flatnonzero(high > low):
+                        tied = known[order[low[k] : high[k]]]
+                        totals[members[n][k]] += _before(tied, ids[members[n][k]])
+        some = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(totals[some])], names=["at", "n"])
+
+    return rows.mapInArrow(count, "at long, n long")
+
+
+def _before(ids: np.ndarray, one) -> int:
+    """How many ids sort before ``one``, null first."""
+    if one is None:
+        return 0
+    return sum(i is None or i < one for i in ids.tolist())
+
+
 def search(
     queries: DataFrame,
     corpus: DataFrame,
@@ -428,7 +550,7 @@ def search(
     num_results: int = 5,
     filters: dict | None = None,
     query_type: str = "hybrid",
-    depth: int = 50,
+    depth: int | None = 50,
     id: str = "id",
     text: str = "text",
     vector: str = "embedding",
@@ -436,12 +558,14 @@ def search(
     """Search a corpus with ``(qid, text, embedding)`` queries, hybrid or semantic only (``ann``).
 
     Returns the asked-for corpus columns next to query, score and rank. A hybrid search fuses two rankings of
-    ``depth`` hits, or of ``num_results`` where more are asked for.
+    ``depth`` hits, or of ``num_results`` where more are asked for; ``depth=None`` fuses the whole rankings.
     """
-    depth = max(depth, num_results)
-    if query_type == "ann":
+    if query_type == "hybrid" and depth is None:
+        found = hybrid_exact(queries, corpus, num_results, filters, id, text, vector)
+    elif query_type == "ann":
         found = vector_topk(queries, corpus, num_results, filters, "qid", id, vector)
     elif query_type == "hybrid":
+        depth = max(depth, num_results)
         by_vector = vector_topk(queries, corpus, depth, filters, "qid", id, vector)
         by_word = keyword_topk(queries, corpus, depth, filters, "qid", id, text)
         found = fuse([by_vector, by_word], num_results)

@@ -467,6 +467,14 @@ votes AS (
 ),
 fused AS (SELECT qid, id, round(sum(1 / (60.0::DOUBLE + rank)), 9) AS score FROM votes GROUP BY qid, id)
 SELECT qid, doc_id, source, score, rank FROM ({_top('fused', 80)}) JOIN documents ON doc_id = id""",
+        "hybrid_exact": f"""WITH {VECTOR_SCORES}, {BM25},
+linked AS (SELECT s.* FROM vector_scores s JOIN documents ON doc_id = id),
+votes AS (
+  SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM linked
+  UNION ALL SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) FROM bm25
+),
+fused AS (SELECT qid, id, round(sum(1 / (60.0::DOUBLE + rank)), 9) AS score FROM votes GROUP BY qid, id)
+SELECT qid, doc_id, source, score, rank FROM ({_top('fused', 10)}) JOIN documents ON doc_id = id""",
         "answer_checks": f"WITH {checks} SELECT * FROM checks",
         "tfidf_embed": f"""WITH words AS (SELECT doc_id, unnest({TERMS}) AS term FROM documents),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),

@@ -371,6 +371,13 @@ def hybrid_deep(t: Tables) -> DataFrame:
     return S.search(si.queries(t), corpus, ["doc_id", "source"], 80, id="doc_id")
 
 
+@query
+def hybrid_exact(t: Tables) -> DataFrame:
+    """The fusion of the whole rankings."""
+    corpus = si.corpus(t).select("doc_id", "source", "text", "embedding")
+    return S.search(si.queries(t), corpus, ["doc_id", "source"], 10, depth=None, id="doc_id")
+
+
 @query
 def tfidf_embed(t: Tables) -> DataFrame:
     """Whole vectors, by their entries other than zero."""

@@ -187,3 +187,28 @@ def test_sync_index_embeds_changed_rows_only(spark):
     )
     got = S.sync_index(index, feed, lambda df: df.select("id", F.upper("text").alias("v")))
     assert sorted(tuple(r) for r in got.collect()) == [("a", "X"), ("c", "old"), ("d", "Z")]
+
+
+def test_whole_rankings_are_fused(spark, vectors, texts):
+    """Against a fusion of all places, with ties, texts without words and texts without vectors."""
+    rng = random.Random(8)
+    corpus, queries = vectors
+    words = [f"w{i}" for i in range(6)]
+    docs = {i: ([round(x, 1) for x in corpus[i % 60].tolist()] if i % 7 else None, " ".join(rng.choices(words, k=rng.randint(0, 8)))) for i in range(300)}
+    asked = {q: (queries[q].round(1).tolist() if q % 4 else None, " ".join(rng.choices(words, k=2))) for q in range(8)}
+    c = spark.createDataFrame([(i, t, v) for i, (v, t) in docs.items()], "id long, text string, embedding array<double>")
+    q = spark.createDataFrame([(i, t, v) for i, (v, t) in asked.items()], "qid long, text string, embedding array<double>")
+    by_word = bm25({i: t for i, (_, t) in asked.items()}, {i: t for i, (_, t) in docs.items()}, 300)
+    scores = {}
+    for i, d, rank in by_word:
+        scores[i, d] = 1 / (60 + rank)
+    for i, (qv, _) in asked.items():
+        if qv is not None:
+            order = sorted((-round(float(np.dot(qv, v)), 6), d) for d, (v, _) in docs.items() if v is not None)
+            for rank, (_, d) in enumerate(order, 1):
+                scores[i, d] = scores.get((i, d), 0) + 1 / (60 + rank)
+    want = set()
+    for i in asked:
+        best = sorted((-round(s, 9), d) for (j, d), s in scores.items() if j == i)[:4]
+        want |= {(i, d, rank) for rank, (_, d) in enumerate(best, 1)}
+    assert ranked(S.search(q, c, ["id"], 4, depth=None)) == want
