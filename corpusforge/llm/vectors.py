@@ -6,8 +6,8 @@ a list its inner products with all codes are read from one lookup table per subs
 quantisation error bounds how far that value may be off, so a pair is dropped only when the bound proves it below the
 threshold. All others get their exact cosine in double precision.
 
-How many lists a vector asks is measured on the sample: as many as find the list of a vector exactly at the threshold
-with a chance of ``reach``. Equal vectors form a class and only one of them is compared.
+How many lists a vector asks is measured on the sample: as many as let one of two vectors exactly at the threshold find
+the list of the other with a chance of ``reach``. Equal vectors form a class and only one of them is compared.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,16 +87,19 @@ def fit(sample: np.ndarray, n: int, threshold: float, reach: float, seed: int =
     own = np.argmax(sample @ centroids.T, axis=1)
     rest = sample - centroids[own]
     books = [k_means(rest[:, a:b], min(CODES, len(rest)), rng) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    # neighbours exactly at the threshold, in random directions: how deep lies the list of the one for the other
+    # neighbours exactly at the threshold, in random directions: how deep lies the list of the one for the other, and the other
+    # way round, because a pair is found from either side
     some = sample[rng.permutation(len(sample))[:4096]]
     noise = rng.standard_normal(some.shape)
     noise -= (noise * some).sum(axis=1, keepdims=True) * some
     length = np.linalg.norm(noise, axis=1, keepdims=True)
     noise /= np.where(length > 0, length, 1)
     other = threshold * some + np.sqrt(max(0.0, 1 - threshold**2)) * noise
-    sims, target = other @ centroids.T, np.argmax(some @ centroids.T, axis=1)
-    depth = (sims > sims[np.arange(len(some)), target][:, None]).sum(axis=1) + 1
-    return Quantiser(centroids, books, cuts, int(np.quantile(depth, reach, method="higher")))
+    sims = some @ centroids.T, other @ centroids.T
+    depth = [
+        (a > a[np.arange(len(some)), np.argmax(b, axis=1)][:, None]).sum(axis=1) + 1 for a, b in (sims, sims[::-1])
+    ]
+    return Quantiser(centroids, books, cuts, int(np.quantile(np.minimum(*depth), reach, method="higher")))
 
 
 def units(raw: np.ndarray) -> np.ndarray:
@@ -157,8 +161,8 @@ def into_lists(shared) -> Callable[[Batches], Batches]:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(target.ravel()), nothing, pa.array(lists[row, 0]), part.column(0).take(index),
                      part.column(1).take(index), part.column(2).take(index),
-                     pa.compute.if_else(nothing, null, packed), pa.array(error[row]),
-                     pa.compute.if_else(nothing, null, asked)],
+                     pc.if_else(nothing, null, packed), pa.array(error[row]),
+                     pc.if_else(nothing, null, asked)],
                     ["list", "asks", "home", "key", "n", "vector", "codes", "error", "lists"],
                 )
 
@@ -198,6 +202,7 @@ def compare(shared, threshold: float) -> Callable[[pa.Table], pa.Table]:
         if len(q) and len(x):
             here = table["list"][0].as_py()
             keys = np.array(table["key"].to_pylist(), object)
+            rank = np.unique(keys, return_inverse=True)[1]
             weight, home = table["n"].to_numpy(), table["home"].to_numpy()
             raw = matrix(table["vector"].combine_chunks())
             unit = units(raw)
@@ -207,23 +212,26 @@ def compare(shared, threshold: float) -> Callable[[pa.Table], pa.Table]:
             asked = np.zeros((len(x), len(model.centroids)), bool)
             lists = np.frombuffer(b"".join(table["lists"].take(pa.array(x)).to_pylist()), np.int32).reshape(len(x), -1)
             np.put_along_axis(asked, lists.astype(np.int64), True, axis=1)
+            # the tables are read in single precision, so the bound gives way by more than that can be off
+            floor = (threshold - 1e-4 - error).astype(np.float32)[:, None]
             links = ([], [])
             for low in range(0, len(q), 256):
                 some = q[low : low + 256]
-                value = np.repeat((unit[some] @ model.centroids[here])[:, None], len(x), axis=1)
+                # a row of the table holds one code's products with all askers, so a stored vector reads whole rows
+                value = np.repeat((unit[some] @ model.centroids[here]).astype(np.float32)[None, :], len(x), axis=0)
                 for m, book in enumerate(model.books):
-                    lookup = unit[some, model.cuts[m] : model.cuts[m + 1]] @ book.T
-                    value += lookup[:, codes[:, m]]
-                open_ = value + error[None, :] >= threshold - 1e-6
-                elsewhere = home[some] != here
-                twice = asked[:, home[some]].T & elsewhere[:, None]
-                open_ &= ~twice | (here < home[some])[:, None]
+                    lookup = (book @ unit[some, model.cuts[m] : model.cuts[m + 1]].T).astype(np.float32)
+                    value += lookup.take(codes[:, m], axis=0)
+                j, i = np.nonzero(value >= floor)
+                asker, found = some[i], x[j]
+                elsewhere = home[asker] != here
+                # of two lists that both show the pair, the one of the smaller number counts
+                wanted = ~asked[j, home[asker]] | (here < home[asker])
                 # pairs at home in one list are asked by both sides
-                same = keys[some][:, None] < keys[x][None, :]
-                open_ &= elsewhere[:, None] | same
-                i, j = np.nonzero(open_)
-                for at in range(0, len(i), 16384):
-                    a, b = some[i[at : at + 16384]], x[j[at : at + 16384]]
+                wanted = np.where(elsewhere, wanted, rank[asker] < rank[found])
+                asker, found = asker[wanted], found[wanted]
+                for at in range(0, len(asker), 16384):
+                    a, b = asker[at : at + 16384], found[at : at + 16384]
                     good = np.einsum("ij,ij->i", unit[a], unit[b]) >= threshold
                     links[0].append(a[good])
                     links[1].append(b[good])
