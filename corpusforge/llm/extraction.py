@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+UNSEEN = -0.1  # a tag that no labelled page has: less than a word, so that tables and lists stay where they stand
 SAMPLE = 5000  # labelled pages from which weights are learnt, the smallest by a seeded hash
 
 # fixed values: elements of HTML by their part in a page
@@ -146,7 +147,7 @@ def main_text(page: str, scores: dict[str, float]) -> str:
         if run <= 0:
             run, start = 0.0, k
         if not aside:
-            run += scores.get(tag, -1.0) if tag else scores[""] * len(text.split())
+            run += scores.get(tag, UNSEEN) if tag else scores[""] * len(text.split())
         if run > best[0]:
             best = (run, start, k + 1)
     blocks: list[list[str]] = [[]]
@@ -180,7 +181,7 @@ def main_texts(pages: DataFrame, labelled: DataFrame | None = None) -> DataFrame
 
     Weights come from ``labelled`` (html with a marked article), by default from the pages that have one. Null and empty
     pages have an empty text. Rows may repeat and ids may be null. Columns beyond page_id, url and html are not looked
-    at. Without labelled pages words score 1 and tags -1. No rows give no rows.
+    at. Without labelled pages words score 1 and tags ``UNSEEN``. No rows give no rows.
     """
     spark = pages.sparkSession
     known = pages if labelled is None else labelled
@@ -188,8 +189,8 @@ def main_texts(pages: DataFrame, labelled: DataFrame | None = None) -> DataFrame
     sample = marked.filter(F.col("h").isNotNull()).select("h").distinct().orderBy("h").limit(SAMPLE)
     chosen = marked.join(F.broadcast(sample), "h", "left_semi").select("html")
     counted = chosen.mapInArrow(count_tags, "token string, inside boolean, n long")
-    # tag names are few; the rarest of a sample weigh like unknown ones
-    totals = counted.groupBy("token", "inside").agg(F.sum("n").alias("n")).orderBy(F.desc("n")).limit(10_000).collect()
+    # as many as the sample has tag names
+    totals = counted.groupBy("token", "inside").agg(F.sum("n").alias("n")).collect()
     shared = spark.sparkContext.broadcast(weights({(t, i): n for t, i, n in totals}))
     types = {c: pages.schema[c].dataType.simpleString() for c in ("page_id", "url")}
     return pages.select("page_id", "url", "html").mapInArrow(

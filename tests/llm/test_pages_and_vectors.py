@@ -73,6 +73,22 @@ def test_main_text(spark, before, inner, after):
     assert (got[100].text, got[101].text, got[101].n_chars) == ("", "", 0)
 
 
+@pytest.mark.parametrize(
+    ("extra", "want"),
+    [
+        ("<table><tr><th>a</th><td>b</td></tr><tr><th>c</th><td>d</td></tr></table><p>The end.</p>", ["a", "b", "c", "d", "The end."]),
+        ("<figure><img src=x><figcaption>Caption</figcaption></figure><ul><li>one</li><li>two</li></ul><p>x</p>", ["Caption", "one", "two", "x"]),
+        ("<dl><dt>t</dt><dd>d</dd></dl><blockquote>q</blockquote><pre>c</pre>", ["t", "d", "q", "c"]),
+    ],
+)
+def test_elements_that_no_labelled_page_has_stay(spark, extra, want):
+    plain = [(i, "u", page(TEXT)) for i in range(300)]
+    learnt = spark.createDataFrame(plain, PAGES)
+    odd = spark.createDataFrame([(1, "u", page(TEXT + extra)), (2, "u", page(extra + TEXT))], PAGES)
+    got = {r.page_id: r.text.split("\n") for r in extraction.main_texts(odd, learnt).collect()}
+    assert got == {1: WANT.split("\n") + want, 2: want + WANT.split("\n")}
+
+
 def vector_rows():
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(size=16).tolist()) for i in range(300)]
