@@ -68,12 +68,13 @@ class IndexSync:
 
     def _latest(self) -> DataFrame | None:
         """Latest row of every key, marks of deleted ones included."""
-        base, deltas = self._stored("base"), self._stored("deltas")
+        base, deltas, open_ = self._stored("base"), self._stored("deltas"), self.committed()
         if base is not None:
             newest = base.agg(F.max("upto")).first()[0]
             base = base.filter(F.col("upto") == newest).drop("upto")
-        if deltas is not None:
-            counted = deltas.filter(F.col("batch").isin(sorted(self.committed()))).drop("batch")
+            open_ -= {r["number"] for r in self._stored("folded").filter(F.col("upto") == newest).collect()}
+        if deltas is not None and open_:
+            counted = deltas.filter(F.col("batch").isin(sorted(open_))).drop("batch")
             base = counted if base is None else base.unionByName(counted, allowMissingColumns=True)
         if base is None:
             return None
@@ -94,11 +95,14 @@ class IndexSync:
         return run_upserts(feed, checkpoint, self.upsert)
 
     def compact(self) -> None:
-        """Fold all batches into one base, so that readers meet each key once. Batches stay in the ledger.
+        """Fold all batches into one base, so that readers meet each key once and leave these batches' rows unread.
 
-        The base counts as soon as its folder is complete; batches that it holds may be read twice without harm.
+        Batches stay in the ledger. The base counts as soon as its folder is complete, and which batches it holds is written before it.
         """
         done = self.committed()
         latest = self._latest()
         if done and latest is not None:
-            latest.write.mode("overwrite").parquet(f"{self.folder}/base/upto={max(done)}")
+            upto = f"upto={max(done)}"
+            numbers = self.spark.createDataFrame([(b,) for b in sorted(done)], "number long")
+            numbers.write.mode("overwrite").parquet(f"{self.folder}/folded/{upto}")
+            cut_lineage(latest).write.mode("overwrite").parquet(f"{self.folder}/base/{upto}")
