@@ -10,9 +10,9 @@
 
 A bucket is never expanded into its pairs. First every member meets the smallest member of its bucket only. The links
 found give provisional components; only buckets that still hold several components are compared further, members of one
-component never with each other. The members outside the main component of a bucket are few as a rule: within ``SCAN_BYTES`` they
-are sent to all tasks, and every row of such buckets is read once and meets those that share a band with it. Where they are more,
-buckets are compared block by block, a pair only in the first band it shares. Both ways find the same components.
+component never with each other. The members outside the main component are few in a large bucket as a rule: from the
+largest buckets on, as far as they fit in ``SCAN_BYTES``, they are sent to all tasks, and every row of such buckets is read once and meets those
+that share a band with it. The smaller buckets are compared block by block, a pair only in the first band it shares. Both ways find the same components.
 """
 
 from __future__ import annotations
@@ -378,14 +378,26 @@ def class_links(
 
     large = labelled.filter(F.col("n") > FEW)
     sides = large.join(centers, "bucket").withColumn("right", F.col("label") == F.col("main"))
-    others = stored(sides.filter(~F.col("right")).select("key", "label").distinct().join(sets, "key"), "others")
+    # the largest buckets are read as a scan, as many sizes of bucket as their outside members fit in what may be sent to all tasks
+    sides = sides.withColumn("level", F.floor(F.log2("n")).cast("int"))
+    outside = sides.filter(~F.col("right"))
+    others = stored(outside.groupBy("key", "label").agg(F.max("level").alias("level")).join(sets, "key"), "others")
     weight = F.octet_length("shingles") + FINE + COARSE * 2 + 64
-    if (others.agg(F.sum(weight)).first()[0] or 0) <= SCAN_BYTES:
-        shared = texts.sparkSession.sparkContext.broadcast(others.toArrow())
-        split = sides.filter(~F.col("right")).select("bucket").distinct()
+    lowest, total = None, 0
+    for level, size in others.groupBy("level").agg(F.sum(weight)).orderBy(F.desc("level")).collect():
+        total += size
+        if total > SCAN_BYTES:
+            break
+        lowest = level
+    found = links_of(crossing)
+    if lowest is not None:
+        shared = texts.sparkSession.sparkContext.broadcast(others.filter(F.col("level") >= lowest).drop("level").toArrow())
+        split = outside.filter(F.col("level") >= lowest).select("bucket").distinct()
         touched = sides.join(split, "bucket", "left_semi").select("key", "label").distinct().join(sets, "key")
-        more = touched.mapInArrow(wa.tidy(scan_links(shared, cut, percent)), pair_schema)
-        return first.union(stored(links_of(crossing).union(more), "verified"))
+        found = found.union(touched.mapInArrow(wa.tidy(scan_links(shared, cut, percent)), pair_schema))
+    if total <= SCAN_BYTES:
+        return first.union(stored(found, "verified"))
+    sides = sides.filter(F.col("level") < (lowest if lowest is not None else 64)).drop("level")
     sizes = sides.groupBy("bucket").agg(
         F.ceil(F.sum((~F.col("right")).cast("long")) / BLOCK).alias("n_left"),
         F.ceil(F.sum(F.col("right").cast("long")) / BLOCK).alias("n_right"),
@@ -409,5 +421,4 @@ def class_links(
     )
     rows = tasks.join(sets, "key")
     more = rows.groupBy("bucket", "i", "j").applyInArrow(block_links(cut, percent), pair_schema)
-    second = stored(links_of(crossing).union(more), "verified")
-    return first.union(second)
+    return first.union(stored(found.union(more), "verified"))

@@ -110,6 +110,13 @@ def near_copies():
         for _ in range(rng.randint(0, 8)):
             own[rng.randrange(len(own))] = f"n{rng.randrange(10_000)}"
         rows.append((i, " ".join(own), "en", "s", 1))
+    # a smaller group of its own, so that buckets of several sizes are open
+    other = [f"o{rng.randrange(500)}" for _ in range(120)]
+    for i in range(500, 530):
+        own = list(other)
+        for _ in range(rng.randint(0, 6)):
+            own[rng.randrange(len(own))] = f"n{rng.randrange(10_000)}"
+        rows.append((i, " ".join(own), "en", "s", 1))
     return rows + [(1000 + r[0], *r[1:]) for r in edge_rows() if r[0] is not None]
 
 
@@ -134,7 +141,7 @@ def components(rows, width):
     return {i: find(i) for i in ids}
 
 
-@pytest.mark.parametrize("limit", [0, neardup.SCAN_BYTES])
+@pytest.mark.parametrize("limit", [0, 60_000, neardup.SCAN_BYTES])
 def test_open_buckets_give_the_same_components_either_way(spark, monkeypatch, limit):
     monkeypatch.setattr(neardup, "SCAN_BYTES", limit)
     rows = near_copies()
