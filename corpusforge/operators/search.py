@@ -30,6 +30,7 @@ SCORE_DIGITS = 6
 MAX_BROADCAST_QUERIES = 4096
 MAX_CELLS = 65_536
 WORD_BUCKETS = 64
+EVERY = "\0"  # no word: words are letters and digits
 QUERY_BLOCK = 1024
 SCORE_CELLS = 1 << 22  # scores held at once when rows look for their cells
 CORPUS_BLOCK = 50_000
@@ -344,24 +345,37 @@ def keyword_topk(
     Only words that occur in a query leave the scan, already counted per text. A corpus bucketed by id saves
     the exchange of these words; for a corpus that is searched again and again see ``word_index``.
     """
-    corpus = with_filters(corpus, filters)
-    wanted = query_terms(queries, qid, text)
-    small = fits(wanted)
-    terms = wanted.select("term").distinct()
-    hits = _counted(join_lookup(_words(corpus, id, text), terms, "term", F.col("id"), small))
-    return _rank_hits(wanted, hits, corpus_totals(corpus, text), k, small)
+    return top_k(keyword_scores(queries, corpus, filters, qid, id, text), k)
 
 
 def keyword_scores(
     queries: DataFrame, corpus: DataFrame, filters: dict | None = None, qid: str = "qid", id: str = "id", text: str = "text"
 ) -> DataFrame:
     """``(qid, id, score)`` of every text that holds a word of a query: what ``keyword_topk`` ranks."""
-    corpus = with_filters(corpus, filters)
     wanted = query_terms(queries, qid, text)
     small = fits(wanted)
-    terms = wanted.select("term").distinct()
-    hits = _counted(join_lookup(_words(corpus, id, text), terms, "term", F.col("id"), small))
-    return _score_hits(wanted, hits, corpus_totals(corpus, text), small)
+    hits, totals = _query_words(with_filters(corpus, filters), wanted, small, id, text)
+    return _score_hits(wanted, hits, totals, small)
+
+
+def _query_words(corpus: DataFrame, wanted: DataFrame, small: bool, id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Counted query words per text, and the totals of all texts, from one pass over the texts.
+
+    Every text has the word ``EVERY`` once more, so what the totals need comes through the same exchange, which Spark reuses. The
+    flag that tells these rows apart is an aggregate: a filter on the word itself would be pushed below and make two plans.
+    """
+    every = corpus.sparkSession.range(1).select(F.lit(EVERY).alias("term"))
+    terms = wanted.select("term").distinct().unionByName(every)
+    words = (
+        corpus.select(F.col(id).alias("id"), tokens(text).alias("_tokens"))
+        .select("id", token_count("_tokens").alias("n_words"), F.explode_outer(F.concat(F.array(F.lit(EVERY)), "_tokens")).alias("term"))
+        .filter(F.col("term") != "")
+    )
+    found = join_lookup(words, terms, "term", F.col("id"), small)
+    counted = found.groupBy("id", "n_words", "term").agg(F.count("*").alias("tf"), F.bool_or(F.col("term") == EVERY).alias("_every"))
+    # both sides read all columns of the aggregate, or they would be two
+    totals = counted.filter("_every").agg(F.count_if(F.col("tf") > 0).alias("n"), F.avg("n_words").alias("avg_words"))
+    return counted.filter(~F.col("_every")).drop("_every"), totals
 
 
 def word_index(corpus: DataFrame, id: str = "id", text: str = "text") -> DataFrame:
