@@ -11,17 +11,21 @@ tend to meet in a block and whole blocks lack the words of a query. Hashes alone
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from corpusforge.functions.text import token_count, tokens
+from corpusforge.functions.text import tokens
 from corpusforge.operators import search as S
 from corpusforge.scaling import cut_lineage, fits, join_lookup
 
-BLOCK_POSTINGS = 16_384
+BLOCK_POSTINGS = 32_768
 #: Postings are stored in folders of about this many, of which a search reads those with blocks it needs.
 SLICE_POSTINGS = 1 << 22
 MOST_SLICES = 1024
@@ -50,6 +54,19 @@ def _rarity(df: Column, n_texts: Column) -> Column:
     return F.log(1 + (n_texts - df + 0.5) / (df + 0.5))
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts (slice, block, id, n_words, words) as a row per distinct word. A text is one row, so nothing has to be shuffled for it."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, 256):
+            part = batch.slice(low, 256)
+            words = pa.table({"text": pc.list_parent_indices(part["words"]), "term": pc.list_flatten(part["words"])})
+            counts = words.group_by(["text", "term"]).aggregate([([], "count_all")])
+            kept = [part[c].take(counts["text"]) for c in ("slice", "block", "id", "n_words")]
+            columns = [*kept[:2], counts["term"], *kept[2:], counts["count_all"]]
+            columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
+            yield from pa.table(columns, names=["slice", "block", "term", "id", "n_words", "tf"]).to_batches(max_chunksize=50_000)
+
+
 def build(
     corpus: DataFrame, folder: str, id: str = "id", text: str = "text", block_postings: int = BLOCK_POSTINGS, slices: int | None = None
 ) -> PostingIndex:
@@ -60,28 +77,32 @@ def build(
     """
     spark = corpus.sparkSession
     index = PostingIndex(spark, folder)
-    cut = corpus.select(F.col(id).alias("id"), tokens(text).alias("_tokens"))
-    least = F.array_min(F.transform(F.filter("_tokens", lambda t: t != ""), lambda t: F.xxhash64(t)))
-    # one select ahead of the explode, which would otherwise work these out for every word
-    whole = cut.select("id", "_tokens", token_count("_tokens").alias("n_words"), least.alias("least"))
-    words = whole.select("id", "n_words", "least", F.explode_outer("_tokens").alias("term"))
-    counted = words.filter("term <> ''").groupBy("id", "n_words", "least", "term").agg(F.count("*").alias("tf"))
-    counted.write.parquet(f"{folder}/counted")
-    counted = index.table("counted")
-
-    groups = cut_lineage(counted.groupBy("least").agg(F.count("*").alias("n")))
-    sizes = groups.agg(F.sum("n"), F.sum(F.when(F.col("n") < block_postings, F.col("n")))).first()
-    slices = slices or max(1, min(MOST_SLICES, (sizes[0] or 0) // SLICE_POSTINGS))
-    S.corpus_totals(corpus, text).withColumn("slices", F.lit(slices)).write.parquet(f"{folder}/totals")
-    shared = max(1, -(-(sizes[1] or 0) // block_postings))
+    cut = corpus.select(F.col(id).alias("id"), F.filter(tokens(text), lambda t: t != "").alias("words"))
+    least = F.array_min(F.transform("words", lambda t: F.xxhash64(t)))
+    # one select ahead of what follows, which would otherwise work this out again
+    texts = cut.select("id", "words", F.size("words").alias("n_words"), least.alias("least")).filter("words is not null")
+
+    # how many postings a hash has, from the texts alone
+    sized = texts.select("least", "n_words", F.size(F.array_distinct("words")).alias("n"))
+    groups = cut_lineage(sized.groupBy("least").agg(F.count("*").alias("texts"), F.sum("n_words").alias("words"), F.sum("n").alias("n")))
+    sums = groups.agg(F.sum("n"), F.sum(F.when(F.col("n") < block_postings, F.col("n"))), F.sum("texts"), F.sum("words")).first()
+    slices = slices or max(1, min(MOST_SLICES, (sums[0] or 0) // SLICE_POSTINGS))
+    average = sums[3] / sums[2] if sums[2] else None
+    totals = "n long, avg_words double, slices int"
+    spark.createDataFrame([(sums[2] or 0, average, slices)], totals).write.parquet(f"{folder}/totals")
+    shared = max(1, -(-(sums[1] or 0) // block_postings))
     large = groups.filter(F.col("n") >= block_postings).select("least", F.ceil(F.col("n") / block_postings).alias("parts"))
-    # as many large groups as blocks, at most: postings / block_postings rows
-    split = counted.join(F.broadcast(large) if fits(large) else large, "least", "left")
+
+    # texts are told their block before their words are taken apart; large groups are as many as blocks, at most
+    split = texts.join(F.broadcast(large) if fits(large) else large, "least", "left")
     own = F.xxhash64(F.lit("group"), "least", F.pmod(F.xxhash64("id"), F.col("parts")))
     common = F.xxhash64(F.lit("shared"), F.pmod(F.xxhash64("least"), F.lit(shared)))
     placed = split.withColumn("block", F.when(F.col("parts").isNull(), common).otherwise(own))
-    placed = placed.withColumn("slice", F.pmod("block", F.lit(slices)).cast("int")).select("slice", "block", "term", "id", "n_words", "tf")
-    ordered = placed.hint("rebalance", "slice").sortWithinPartitions("slice", "term", "block")
+    placed = placed.withColumn("slice", F.pmod("block", F.lit(slices)).cast("int")).select("slice", "block", "id", "n_words", "words")
+    schema = T.StructType([placed.schema[c] for c in ("slice", "block")] + [T.StructField("term", T.StringType())])
+    schema = T.StructType([*schema.fields, placed.schema["id"], placed.schema["n_words"], T.StructField("tf", T.LongType())])
+    postings = placed.filter("n_words > 0").mapInArrow(_counted, schema)
+    ordered = postings.hint("rebalance", "slice").sortWithinPartitions("slice", "term", "block")
     ordered.write.partitionBy("slice").parquet(f"{folder}/postings")
 
     average = index.table("totals").select("avg_words").scalar()
