@@ -81,7 +81,13 @@ def test_dispatch(spark, summaries):
     for r in V.dispatch(requests, summaries).collect():
         got.setdefault(r["request_id"], []).append(r["output"])
     assert sorted(json.loads(o)["stats"] for o in got[1]) == ["N1", "N2"]
-    assert got[2] == ["history_json"] and got[4] == ["Unknown tool: sing"]
+    assert got[4] == ["Unknown tool: sing"]
+    # the answer's keys join to the documents, however many there are
+    named = json.loads(got[2][0])
+    assert named == {"table": "history_json", "first": 0, "last": 0}
+    last = json.loads(summaries.select(V.history_keys(summaries, 30)).first()[0])["last"]
+    documents = [r["document"] for r in V.history_json(summaries, 2025, 30).collect()]
+    assert min(documents) == 0 and max(documents) <= last and len(documents) > 1
     assert got[3][0].startswith("Tool error: ") and "No data found" in got[5][0]
 
 
