@@ -420,7 +420,8 @@ def history_json(t: Tables) -> DataFrame:
 
 @query
 def tool_dispatch(t: Tables) -> DataFrame:
-    return V.dispatch(si.tool_requests(t), si.summaries(t))
+    # read twice: by the lookups, and for the size of the history
+    return V.dispatch(si.tool_requests(t), cut_lineage(si.summaries(t)))
 
 
 @query
