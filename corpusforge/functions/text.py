@@ -194,6 +194,24 @@ def token_count(tokens_col: Column | str) -> Column:
     return n - first - last
 
 
+def word_counts(words: Column) -> Column:
+    """Map from each word of a list to how often it stands there: equal words lie together in the sorted list.
+
+    The list has to be a column of its own, it is read more than once.
+    """
+
+    def counted(w: Column) -> Column:
+        first = F.transform(w, lambda x, i: F.when((i == 0) | (x != F.get(w, i - 1)), i))
+        return let(
+            F.array_compact(first),
+            lambda at: F.map_from_arrays(
+                F.array_distinct(w), F.transform(at, lambda start, n: F.coalesce(F.get(at, n + 1), F.size(w)) - start)
+            ),
+        )
+
+    return let(F.sort_array(words), counted)
+
+
 def word_count(c: Column | str) -> Column:
     """Number of whitespace-separated words."""
     text = strip(c)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
-from corpusforge.functions.text import token_count, tokens
+from corpusforge.functions.text import token_count, tokens, word_counts
 from corpusforge.operators.upsert import without_keys
 from corpusforge.scaling import cut_lineage, fits, join_lookup, sized
 
@@ -30,7 +30,10 @@ SCORE_DIGITS = 6
 MAX_BROADCAST_QUERIES = 4096
 MAX_CELLS = 65_536
 WORD_BUCKETS = 64
-EVERY = "\0"  # no word: words are letters and digits
+LISTED_WORDS = 20_000  # query words that a scan looks for in its texts; of more, the words of a text are joined with them
+#: What one task holds: so many pairs of a query and a text are scored together, or so many texts have their words counted.
+TASK_PAIRS = 200_000
+TASK_TEXTS = 4_000
 QUERY_BLOCK = 1024
 SCORE_CELLS = 1 << 22  # scores held at once when rows look for their cells
 CORPUS_BLOCK = 50_000
@@ -342,8 +345,8 @@ def keyword_topk(
 ) -> DataFrame:
     """BM25 over the whole texts of the corpus: ``(qid, id, score, rank)``.
 
-    Only words that occur in a query leave the scan, already counted per text. A corpus bucketed by id saves
-    the exchange of these words; for a corpus that is searched again and again see ``word_index``.
+    Only words that occur in a query leave the scan, already counted per text. For a corpus that is searched again and
+    again see ``word_index``.
     """
     return top_k(keyword_scores(queries, corpus, filters, qid, id, text), k)
 
@@ -352,30 +355,45 @@ def keyword_scores(
     queries: DataFrame, corpus: DataFrame, filters: dict | None = None, qid: str = "qid", id: str = "id", text: str = "text"
 ) -> DataFrame:
     """``(qid, id, score)`` of every text that holds a word of a query: what ``keyword_topk`` ranks."""
-    wanted = query_terms(queries, qid, text)
+    wanted = cut_lineage(query_terms(queries, qid, text))
     small = fits(wanted)
     hits, totals = _query_words(with_filters(corpus, filters), wanted, small, id, text)
-    return _score_hits(wanted, hits, totals, small)
+    return _score_hits(wanted, hits, totals, small, together=True)
 
 
 def _query_words(corpus: DataFrame, wanted: DataFrame, small: bool, id: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """Counted query words per text, and the totals of all texts, from one pass over the texts.
-
-    Every text has the word ``EVERY`` once more, so what the totals need comes through the same exchange, which Spark reuses. The
-    flag that tells these rows apart is an aggregate: a filter on the word itself would be pushed below and make two plans.
+    """Counted query words per text, and the totals of all texts, from one pass over the texts."""
+    terms = wanted.select("term").distinct()
+    listed = [row["term"] for row in terms.limit(LISTED_WORDS + 1).collect()]
+    few = len(listed) <= LISTED_WORDS
+    asked = wanted.select("qid").distinct().count()
+    texts = _texts(corpus, id, text, max(1, TASK_PAIRS // max(asked, TASK_PAIRS // TASK_TEXTS)), listed if few else None)
+    found = _text_words(texts)
+    # reads all columns, or its exchange would be another than that of the words
+    kept = texts.groupBy("id", "n_words").agg(F.max(F.size("words")).alias("_size"))
+    totals = kept.agg(F.count_if(F.col("_size") >= 0).alias("n"), F.avg("n_words").alias("avg_words"))
+    return (found if few else join_lookup(found, terms, "term", F.col("id"), small)), totals
+
+
+def _texts(corpus: DataFrame, id: str, text: str, task_texts: int, listed: list[str] | None = None) -> DataFrame:
+    """``(id, n_words, words)``, a row per text with its words as a map to their numbers; of the ``listed`` words only, if given.
+
+    A text is counted in its row, so no task of the scan holds more than that. Rows of one id then come together, in partitions of
+    about ``task_texts`` rows however large the corpus is: what is done per id needs no other exchange, and all readers share this one.
     """
-    every = corpus.sparkSession.range(1).select(F.lit(EVERY).alias("term"))
-    terms = wanted.select("term").distinct().unionByName(every)
-    words = (
-        corpus.select(F.col(id).alias("id"), tokens(text).alias("_tokens"))
-        .select("id", token_count("_tokens").alias("n_words"), F.explode_outer(F.concat(F.array(F.lit(EVERY)), "_tokens")).alias("term"))
-        .filter(F.col("term") != "")
-    )
-    found = join_lookup(words, terms, "term", F.col("id"), small)
-    counted = found.groupBy("id", "n_words", "term").agg(F.count("*").alias("tf"), F.bool_or(F.col("term") == EVERY).alias("_every"))
-    # both sides read all columns of the aggregate, or they would be two
-    totals = counted.filter("_every").agg(F.count_if(F.col("tf") > 0).alias("n"), F.avg("n_words").alias("avg_words"))
-    return counted.filter(~F.col("_every")).drop("_every"), totals
+    wanted = (lambda t: t.isin(listed)) if listed else (lambda t: F.lit(False)) if listed is not None else (lambda t: t != "")
+    # step by step: what is used twice is a column first
+    cut = corpus.filter(F.col(text).isNotNull()).select(F.col(id).alias("id"), tokens(text).alias("_tokens"))
+    cut = cut.select("id", token_count("_tokens").alias("n_words"), F.filter("_tokens", wanted).alias("_tokens"))
+    partitions = max(corpus.sparkSession.sparkContext.defaultParallelism, -(-corpus.count() // task_texts))
+    return cut.select("id", "n_words", word_counts(F.col("_tokens")).alias("words")).repartition(partitions, "id")
+
+
+def _text_words(texts: DataFrame) -> DataFrame:
+    """``(id, n_words, term, tf)`` of ``_texts``, a row per word of an id; needs no further exchange."""
+    # the outer form leaves out the filter that would make another exchange of this one
+    words = texts.select("id", "n_words", F.explode_outer("words").alias("term", "_n")).filter(F.col("term").isNotNull())
+    return words.groupBy("id", "n_words", "term").agg(F.sum("_n").alias("tf"))
 
 
 def word_index(corpus: DataFrame, id: str = "id", text: str = "text") -> DataFrame:
@@ -410,8 +428,8 @@ def _rank_hits(
     return top_k(_score_hits(wanted, hits, totals, small), k)
 
 
-def _score_hits(wanted: DataFrame, hits: DataFrame, totals: DataFrame, small: bool) -> DataFrame:
-    """Scores of all texts with counted words.
+def _score_hits(wanted: DataFrame, hits: DataFrame, totals: DataFrame, small: bool, together: bool = False) -> DataFrame:
+    """Scores of all texts with counted words. ``together``: the words of a text lie in one partition already.
 
     What is shuffled grows with the matching words and not with queries times texts: the queries are
     multiplied in after the words of a text have come together, and the top-k cut precedes the last exchange.
@@ -425,7 +443,7 @@ def _score_hits(wanted: DataFrame, hits: DataFrame, totals: DataFrame, small: bo
     )
     # one exchange brings the words of a text together, the per-query sums reuse it
     return (
-        join_lookup(weighted.repartition("id"), wanted, "term", F.col("id"), small)
+        join_lookup(weighted if together else weighted.repartition("id"), wanted, "term", F.col("id"), small)
         .groupBy("qid", "id")
         .agg(F.round(F.sum("weight"), SCORE_DIGITS).alias("score"))
     )
