@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -488,7 +488,7 @@ def hybrid_exact(
     pairs = known.groupBy("qid", "id").agg(F.collect_set("kind").alias("kinds")).filter(F.size("kinds") == 1)
     lacking = lambda kind: pairs.filter(~F.array_contains("kinds", kind)).select("qid", "id")
     by_vector = _vector_places(lacking("v"), queries, corpus, id, vector)
-    by_word = _places(lacking("w").join(hits, ["qid", "id"]), hits)
+    by_word = _places(sized(lacking("w")).join(hits, ["qid", "id"]), hits)
     votes = known.select("qid", "id", "rank").unionByName(by_vector).unionByName(by_word)
     return fuse([votes], k)
 
@@ -496,22 +496,62 @@ def hybrid_exact(
 def _places(candidates: DataFrame, scored: DataFrame) -> DataFrame:
     """``(qid, id, rank)`` of candidates ``(qid, id, score)`` among all ``scored`` rows of their query.
 
-    The candidates of a query travel as one sorted array; a scored row counts how many of them it is ahead of, and only these counts are
-    shuffled.
+    The candidates travel to the tasks, in order of their scores; a batch of scored rows is looked up among them, and only the counts
+    are shuffled.
     """
-    place = F.struct((-F.col("score")).alias("s"), F.col("id").alias("i"))
-    listed = candidates.groupBy(F.col("qid").alias("_qid")).agg(F.array_sort(F.collect_list(place)).alias("_list"))
-    listed = cut_lineage(listed)
-    small = F.broadcast(listed) if fits(listed) else listed
-    joined = scored.join(small, F.col("qid").eqNullSafe(F.col("_qid")))
-    behind = F.size(F.filter("_list", lambda c: c > place))
-    counts = joined.groupBy("qid", behind.alias("behind")).agg(F.count("*").alias("n")).filter("behind > 0")
-    size = F.size("_list")
-    each = listed.select("_qid", size.alias("m"), F.posexplode("_list").alias("at", "c"))
-    # the last ``behind`` of the sorted candidates come after such a row
-    ahead = each.join(counts, F.col("_qid").eqNullSafe(F.col("qid")) & (F.col("behind") >= F.col("m") - F.col("at")), "left")
-    ranks = ahead.groupBy(F.col("_qid").alias("qid"), F.col("c.i").alias("id")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    return ranks.select("qid", "id", (F.col("n") + 1).cast("int").alias("rank"))
+    table = candidates.toArrow()  # at most the depth for each query
+    if not table.num_rows:
+        return candidates.select("qid", "id", F.lit(1).alias("rank"))
+    groups, scores, ids = _grouped(table)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros(len(scores), np.int64)
+        for batch in batches:
+            coded = batch.column("qid").dictionary_encode(null_encoding="encode")
+            codes, names, found = coded.indices.to_numpy(), sortable(batch.column("id")), batch.column("score").to_numpy()
+            order = np.argsort(codes, kind="stable")
+            ends = np.searchsorted(codes[order], np.arange(len(coded.dictionary) + 1))
+            for code, q in enumerate(coded.dictionary.to_pylist()):
+                if q in groups:
+                    own = order[ends[code] : ends[code + 1]]
+                    _add_ahead(totals, groups[q], scores, ids, found[own], names[own])
+        yield _counts(totals)
+
+    return _ranked(candidates.sparkSession, table, scored.select("qid", "id", "score").mapInArrow(count, "at long, n long"))
+
+
+def _grouped(candidates: pa.Table) -> tuple[dict, np.ndarray, np.ndarray]:
+    """Rows of the candidates by query, their scores, their ids."""
+    groups: dict = {}
+    for at, q in enumerate(candidates.column("qid").to_pylist()):
+        groups.setdefault(q, []).append(at)
+    ids = sortable(candidates.column("id").combine_chunks())
+    return {q: np.array(of) for q, of in groups.items()}, candidates.column("score").to_numpy(), ids
+
+
+def _counts(totals: np.ndarray) -> pa.RecordBatch:
+    some = np.flatnonzero(totals)
+    return pa.RecordBatch.from_arrays([pa.array(some), pa.array(totals[some])], names=["at", "n"])
+
+
+def _ranked(spark: SparkSession, candidates: pa.Table, counts: DataFrame) -> DataFrame:
+    """``(qid, id, rank)`` of the candidates from what each task counted ahead of them."""
+    ranks = spark.createDataFrame(candidates.select(["qid", "id"]).append_column("_at", pa.array(range(candidates.num_rows))))
+    summed = counts.groupBy("at").agg(F.sum("n").alias("n"))
+    joined = ranks.join(F.broadcast(summed), F.col("_at") == F.col("at"), "left")
+    return joined.select("qid", "id", (F.coalesce("n", F.lit(0)) + 1).cast("int").alias("rank"))
+
+
+def _add_ahead(
+    totals: np.ndarray, members: np.ndarray, scores: np.ndarray, ids: np.ndarray, found: np.ndarray, known: np.ndarray
+) -> None:
+    """Add to the totals of the members how many of the rows ``(known, found)``, ids and scores of one query, come ahead of each."""
+    order = np.argsort(found, kind="stable")
+    sorted_scores, mine = found[order], scores[members]
+    low, high = np.searchsorted(sorted_scores, mine, "left"), np.searchsorted(sorted_scores, mine, "right")
+    totals[members] += len(found) - high
+    for k in np.flatnonzero(high > low):
+        totals[members[k]] += _before(known[order[low[k] : high[k]]], ids[members[k]])
 
 
 def _vector_places(pairs: DataFrame, queries: DataFrame, corpus: DataFrame, id: str, vector: str) -> DataFrame:
@@ -525,21 +565,14 @@ def _vector_places(pairs: DataFrame, queries: DataFrame, corpus: DataFrame, id:
     counts = _ahead(rows, table) if table.num_rows else None
     if counts is None:
         return candidates.select("qid", "id", F.lit(1).alias("rank"))
-    ranks = candidates.sparkSession.createDataFrame(table.select(["qid", "id"]).append_column("_at", pa.array(range(table.num_rows))))
-    summed = counts.groupBy("at").agg(F.sum("n").alias("n"))
-    joined = ranks.join(F.broadcast(summed), F.col("_at") == F.col("at"), "left")
-    return joined.select("qid", "id", (F.coalesce("n", F.lit(0)) + 1).cast("int").alias("rank"))
+    return _ranked(candidates.sparkSession, table, counts)
 
 
 def _ahead(rows: DataFrame, candidates: pa.Table) -> DataFrame:
     """``(at, n)``: for the candidate in each row of the table, how many vectors of a task come ahead of it."""
-    groups: dict[tuple, list[int]] = {}
-    for at, q in enumerate(candidates.column("qid").to_pylist()):
-        groups.setdefault(q, []).append(at)
-    vectors = [np.array(candidates.column("_q")[of[0]].as_py(), float) for of in groups.values()]
-    members = [np.array(of) for of in groups.values()]
-    scores = candidates.column("score").to_numpy()
-    ids = sortable(candidates.column("id").combine_chunks())
+    groups, scores, ids = _grouped(candidates)
+    members = list(groups.values())
+    vectors = [np.array(candidates.column("_q")[int(of[0])].as_py(), float) for of in members]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(len(scores), np.int64)
@@ -553,17 +586,9 @@ def _ahead(rows: DataFrame, candidates: pa.Table) -> DataFrame:
                 names = sortable(batch.column("id").take(taken))
                 for column, n in enumerate(asking):
                     found = own[:, column]
-                    found, known = found[np.isfinite(found)], names[np.isfinite(found)]
-                    order = np.argsort(found, kind="stable")
-                    sorted_scores = found[order]
-                    mine = scores[members[n]]
-                    low, high = np.searchsorted(sorted_scores, mine, "left"), np.searchsorted(sorted_scores, mine, "right")
-                    totals[members[n]] += len(found) - high
-                    for k in np.flatnonzero(high > low):
-                        tied = known[order[low[k] : high[k]]]
-                        totals[members[n][k]] += _before(tied, ids[members[n][k]])
-        some = np.flatnonzero(totals)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(totals[some])], names=["at", "n"])
+                    there = np.isfinite(found)
+                    _add_ahead(totals, members[n], scores, ids, found[there], names[there])
+        yield _counts(totals)
 
     return rows.mapInArrow(count, "at long, n long")
 
@@ -572,6 +597,8 @@ def _before(ids: np.ndarray, one) -> int:
     """How many ids sort before ``one``, null first."""
     if one is None:
         return 0
+    if ids.dtype != object:
+        return int(np.count_nonzero(ids < one))
     return sum(i is None or i < one for i in ids.tolist())
 
 

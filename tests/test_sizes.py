@@ -26,3 +26,16 @@ def test_partitions_of_a_keyword_search_follow_the_number_of_texts(spark, monkey
     assert "hashpartitioning(id#" in plan and ", 21), REPARTITION_BY_NUM" in plan and plan.count("hashpartitioning(id#") == plan.count("REPARTITION_BY_NUM")
     got = {(r["qid"], r["id"]) for r in found.collect()}
     assert got == {(1, i) for i in range(200) if i % 4 == 0} | {(1, i) for i in range(1, 40, 4)} | {(2, i) for i in range(1, 200, 4)}
+
+
+def test_places_are_looked_up_in_batches(spark):
+    """Ties by id, a query without candidates, and no row of the ranking taken through an expression per candidate."""
+    rows = [(q, f"d{i:02d}", float(i % 5)) for q in (1, 2, 3) for i in range(40)]
+    scored = spark.createDataFrame(rows, "qid int, id string, score double")
+    candidates = scored.filter("qid < 3 AND id IN ('d00', 'd07', 'd39')")
+    ranks = S._places(candidates, scored)
+    assert "MapInArrow" in ranks._jdf.queryExecution().executedPlan().toString()
+    order = sorted((-s, i) for q, i, s in rows if q == 1)
+    want = {(q, i): place for q in (1, 2) for place, (_, i) in enumerate(order, 1) if i in ("d00", "d07", "d39")}
+    assert {(r["qid"], r["id"]): r["rank"] for r in ranks.collect()} == want
+    assert S._places(candidates.filter("qid > 3"), scored).collect() == []
