@@ -653,14 +653,18 @@ def tfidf_vectors(
 
 def tfidf_entries(df: DataFrame, dims: int = 256, text: str = "text", id: str = "id") -> DataFrame:
     """``(id, position, value)``: the entries other than zero of ``tfidf_vectors``, rounded to ``SCORE_DIGITS``."""
-    counted = _counted(_words(df, id, text))
-    frequencies = counted.groupBy("term").agg(F.count("*").alias("df"))
+    counted = _text_words(_texts(df, id, text, TASK_TEXTS))
     total = df.select(F.count("*").alias("n")).scalar()
-    weight = F.log((total + 1) / (F.col("df") + 1)) + 1
+    rarity = lambda df: F.log((total + 1) / (df + 1)) + 1
     hashed = F.md5("term")
     position = (F.conv(F.left(hashed, F.lit(8)), 16, 10).cast("long") % dims).cast("int")
     sign = F.when(F.conv(F.substring(hashed, 9, 1), 16, 10).cast("int") % 2 == 0, 1.0).otherwise(-1.0)
-    words = counted.join(frequencies, "term").select("id", position.alias("position"), (sign * F.col("tf") * weight).alias("x"))
+    # words of one text only, most of a large vocabulary, need no join; the others are hashed once and not once per text
+    frequencies = counted.groupBy("term").agg(F.count("*").alias("df")).filter(F.col("df") > 1)
+    shared = cut_lineage(frequencies.select("term", position.alias("_position"), (sign * rarity(F.col("df"))).alias("_weight")))
+    met = counted.join(F.broadcast(shared) if fits(shared) else shared, "term", "left")
+    x = F.col("tf") * F.coalesce("_weight", sign * rarity(F.lit(1)))
+    words = met.select("id", F.coalesce("_position", position).alias("position"), x.alias("x"))
     summed = words.groupBy("id", "position").agg(F.sum("x").alias("x"))
     length = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("id")))
     unit = summed.select("id", "position", F.round(F.col("x") / length, SCORE_DIGITS).alias("value"))

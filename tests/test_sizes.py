@@ -1,5 +1,8 @@
 """What a task holds does not grow with the tables."""
 
+import hashlib
+import math
+
 from pyspark.sql import functions as F
 
 from corpusforge.functions.text import tokens, word_counts
@@ -39,3 +42,26 @@ def test_places_are_looked_up_in_batches(spark):
     want = {(q, i): place for q in (1, 2) for place, (_, i) in enumerate(order, 1) if i in ("d00", "d07", "d39")}
     assert {(r["qid"], r["id"]): r["rank"] for r in ranks.collect()} == want
     assert S._places(candidates.filter("qid > 3"), scored).collect() == []
+
+
+def test_words_of_a_text_are_weighted_without_another_exchange(spark):
+    """Words of one text and of many, copies of an id and texts without words; no word is shuffled to meet its frequency."""
+    rows = [(i, f"red w{i} w{i} fox" if i % 2 else f"red own{i}") for i in range(30)] + [(30, ""), (31, None), (1, "red w1 w1 fox")]
+    entries = S.tfidf_entries(spark.createDataFrame(rows, "id long, text string"), 64)
+    plan = entries._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(term#" not in plan
+    got = {(r["id"], r["position"]): r["value"] for r in entries.collect()}
+    want, texts = {}, {i: t for i, t in rows if t}
+    df = {}
+    for t in texts.values():
+        for w in set(t.split()):
+            df[w] = df.get(w, 0) + 1
+    for i, t in texts.items():
+        sums = {}
+        for w in t.split() * (2 if i == 1 else 1):
+            h = hashlib.md5(w.encode()).hexdigest()
+            at, sign = int(h[:8], 16) % 64, 1 if int(h[8], 16) % 2 == 0 else -1
+            sums[at] = sums.get(at, 0) + sign * (math.log(34 / (df[w] + 1)) + 1)
+        length = math.sqrt(sum(x * x for x in sums.values()))
+        want |= {(i, at): x / length for at, x in sums.items() if round(x / length, 6)}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 2e-6 for k in want)
