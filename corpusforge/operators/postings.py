@@ -30,6 +30,7 @@ BLOCK_POSTINGS = 32_768
 SLICE_POSTINGS = 1 << 22
 MOST_SLICES = 1024
 FIRST_BLOCKS = 4
+MOST_FLAGS = 1024  # queries whose blocks are told to the tasks as flags
 SLACK = 2 * 10.0**-S.SCORE_DIGITS  # scores are rounded
 
 
@@ -131,13 +132,36 @@ def reading_plan(queries: DataFrame, index: PostingIndex, qid: str = "qid", text
     return cut_lineage(bounds.withColumn("slice", F.pmod("block", slices).cast("int"))), weights
 
 
+def _numbers(pairs: DataFrame) -> DataFrame:
+    """``(qid, _n)``: the queries numbered from 0."""
+    return pairs.select("qid").distinct().withColumn("_n", F.row_number().over(Window.orderBy("qid")) - 1)
+
+
+def _asked_blocks(pairs: DataFrame) -> DataFrame | None:
+    """``(slice, block, _asked)``: for every block a flag per query that looks into it; none for very many queries."""
+    numbers = cut_lineage(_numbers(pairs).limit(MOST_FLAGS + 1))
+    n = numbers.count()
+    if not 0 < n <= MOST_FLAGS:
+        return None
+    those = pairs.join(F.broadcast(numbers), "qid").groupBy("slice", "block").agg(F.collect_set("_n").alias("_set"))
+    flags = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.array_contains("_set", i))
+    return cut_lineage(those.select("slice", "block", flags.alias("_asked")))
+
+
 def score_blocks(pairs: DataFrame, weights: DataFrame, index: PostingIndex) -> DataFrame:
     """``(qid, id, score)``: whole scores of the texts in the blocks ``(qid, block, slice)``."""
     needed = pairs.select("qid", "block", "slice").join(weights, "qid")
     needed = needed.select("slice", "block", "term", "qid", "weight")
-    needed = F.broadcast(needed) if fits(needed) else needed
+    few = fits(needed)
     average = index.table("totals").select("avg_words").scalar()
-    hits = index.table("postings").join(needed, ["slice", "block", "term"])
+    postings = index.table("postings")
+    asked = None if few else _asked_blocks(pairs)
+    if asked is not None and fits(asked) and fits(weights):
+        # blocks, words and queries are too many together; apart they are not, and no posting is shuffled for them
+        numbered = F.broadcast(weights.join(F.broadcast(_numbers(pairs)), "qid"))
+        hits = postings.join(F.broadcast(asked), ["slice", "block"]).join(numbered, "term").filter(F.get("_asked", F.col("_n")))
+    else:
+        hits = postings.join(F.broadcast(needed) if few else needed, ["slice", "block", "term"])
     drawn = F.col("weight") * _share(F.col("n_words"), F.col("tf"), average)
     return hits.groupBy("qid", "id").agg(F.round(F.sum(drawn), S.SCORE_DIGITS).alias("score"))
 

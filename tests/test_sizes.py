@@ -6,6 +6,7 @@ import math
 from pyspark.sql import functions as F
 
 from corpusforge.functions.text import tokens, word_counts
+from corpusforge.operators import postings as PO
 from corpusforge.operators import search as S
 
 
@@ -65,3 +66,20 @@ def test_words_of_a_text_are_weighted_without_another_exchange(spark):
         length = math.sqrt(sum(x * x for x in sums.values()))
         want |= {(i, at): x / length for at, x in sums.items() if round(x / length, 6)}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 2e-6 for k in want)
+
+
+def test_postings_are_not_shuffled_for_many_blocks(spark, tmp_path, monkeypatch):
+    """Where blocks, words and queries do not fit together, blocks and words travel apart; the result is that of the scan."""
+    rows = [(i, " ".join(f"w{(i * k) % 17}" for k in range(1, 2 + i % 9))) for i in range(120)]
+    corpus = spark.createDataFrame(rows, "id long, text string")
+    queries = spark.createDataFrame([(q, f"w{q} w{q + 3} w{q + 5}") for q in range(6)] + [(9, "none")], "qid long, text string")
+    index = PO.build(corpus, str(tmp_path / "i"), block_postings=40, slices=4)
+    monkeypatch.setattr(PO, "fits", lambda df: not {"block", "term"} <= set(df.columns))
+    pairs, weights = PO.reading_plan(queries, index)
+    plan = PO.score_blocks(pairs.filter("qid <> 2"), weights, index)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
+    got = {tuple(r) for r in PO.score_blocks(pairs.filter("qid <> 2"), weights, index).collect()}
+    want = {(r["qid"], r["id"], r["score"]) for r in S.keyword_scores(queries, corpus).filter("qid <> 2").collect()}
+    assert got == want
+    best = lambda df: {(r["qid"], r["id"], r["rank"]) for r in df.collect()}
+    assert best(PO.blocked_topk(queries, index, 5)) == best(S.keyword_topk(queries, corpus, 5))
