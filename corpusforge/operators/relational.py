@@ -105,33 +105,90 @@ def _profile(yearly: DataFrame) -> DataFrame:
 
 
 def _combined(entries: DataFrame, entity: str) -> DataFrame:
-    """Entries grouped once for both the profile and the winners: winning ones by all they show, the others by year and codes.
+    """Entries grouped once for both the profile and the winners: winning ones by all they show, the others by their codes.
 
-    Both sides read this one aggregate, whose exchange Spark reuses. ``n_won`` is no grouping key, so a filter on it stays above.
+    Every sum has a fixed width, so the map side combines a hot entity to few rows but for its winning entries. The first year
+    of a group is null if any of its years is: missing years come first.
     """
-    place = F.col("final_place")
+    place, year = F.col("final_place"), F.col("year")
     won = F.coalesce(place == 1, F.lit(False))
-    return entries.groupBy(
-        F.col(entity).alias("entity"), "year", F.col("participant_region"), "language", "style",
-        F.when(won, F.col("song_name")).alias("song_name"), F.when(won, F.col("artist_name")).alias("artist_name"), won.alias("_won"),
+    shown = [F.when(won, F.col(c)).alias(c) for c in ("year", "song_name", "artist_name")]
+    grouped = entries.groupBy(
+        F.col(entity).alias("entity"), F.col("participant_region").alias("region"), "language", "style", won.alias("_won"), *shown
     ).agg(
-        F.count("*").alias("n"), F.count_if(place == 1).alias("n_won"), F.count(place).alias("n_placed"),
-        F.sum(place).alias("place_sum"), F.min(place).alias("place_min"),
+        F.count("*").alias("n"), F.count(place).alias("n_placed"), F.sum(place).alias("place_sum"), F.min(place).alias("place_min"),
+        F.count_if(year.isNull()).alias("_unknown"), F.min(year).alias("_from"), F.max(year).alias("_to"),
     )
+    first = F.when(F.col("_unknown") == 0, F.col("_from"))
+    return grouped.withColumn("_first", first)
 
 
-def _yearly_of(combined: DataFrame) -> DataFrame:
-    """As ``_yearly``, from ``_combined``."""
-    return combined.groupBy("entity", "year").agg(
-        F.sum("n").alias("n"),
-        F.sum("n_won").alias("n_won"),
-        F.sum("n_placed").alias("n_placed"),
-        F.sum("place_sum").alias("place_sum"),
-        F.min("place_min").alias("place_min"),
-        F.min(F.struct(F.col("participant_region").alias("region"))).alias("region"),
-        F.collect_set("language").alias("languages"),
-        F.collect_set("style").alias("styles"),
+def _grouped(combined: DataFrame, per_part: int) -> DataFrame:
+    """Rows of ``_combined`` dealt out once by entity, to one row of sums, codes and winners per entity.
+
+    An entity with more than ``per_part`` wins has a row per year and hash of its winners, as ``winner_parts`` cuts them, and one of its
+    other entries. Windows keep the rows of an entity on disk where memory ends.
+    """
+    # very many copies are dealt out as well, in packs of per_part; a winning entry has placement 1
+    packs = F.when(F.col("_won"), F.call_function("div", F.col("n") - 1, F.lit(per_part))).otherwise(0)
+    of_pack = lambda c: F.when(
+        F.col("_won"), F.least(F.lit(per_part), F.col("n") - F.col("_pack") * per_part)
+    ).otherwise(F.col(c))
+    packed = (
+        combined.repartition("entity")
+        .withColumn("_pack", F.explode(F.sequence(F.lit(0).cast("long"), packs)))
+        .withColumns({c: of_pack(c) for c in ("n", "n_placed", "place_sum")})
+        .withColumn("n_won", F.when(F.col("_won"), F.col("n")).otherwise(0))
+    )
+    # the order of the first window serves the second one as well
+    counted = packed.withColumn("_in_year", F.sum("n_won").over(Window.partitionBy("entity", "year"))).withColumn(
+        "_total", F.sum("n_won").over(Window.partitionBy("entity"))
+    )
+    apart = F.col("_won") & (F.col("_total") > per_part)
+    parts = F.ceil(F.col("_in_year") / per_part).cast("long")
+    cut = counted.withColumns(
+        {
+            "_year": F.when(apart, F.col("year")),
+            "_parts": F.when(apart, parts),
+            "_bucket": F.when(apart, F.pmod(F.xxhash64(*WINNER_FIELDS, "_pack"), parts)),
+        }
+    )
+    codes = lambda c: F.sort_array(F.collect_set(c)).alias(f"{c}s")
+    winners = F.collect_list(F.when(F.col("_won"), F.struct(*WINNER_FIELDS, F.col("n").cast("int").alias("copies"))))
+    return cut.groupBy("entity", "_year", "_parts", "_bucket").agg(
+        *[F.sum(c).alias(c) for c in ("n", "n_won", "n_placed", "place_sum")],
+        F.min("place_min").alias("place_min"), F.min("_from").alias("_from"), F.max("_to").alias("_to"),
+        F.min(F.struct("_first", "region")).alias("_region"), codes("language"), codes("style"),
+        F.sort_array(winners).alias("_winners"),
+    )
+
+
+def _profiled(grouped: DataFrame) -> DataFrame:
+    """Rows of ``_grouped`` with the whole profile of their entity and the number of their part; ``_leads`` on one row per entity."""
+    in_order = Window.partitionBy("entity").orderBy("_year", "_bucket")
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    opens = F.col("_bucket").isNotNull() & ~(
+        F.lag("_year").over(in_order).eqNullSafe(F.col("_year")) & F.lag("_bucket").over(in_order).isNotNull()
+    )
+    every = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c).over(whole))))
+    total = lambda c: F.sum(c).over(whole)
+    profiled = grouped.withColumns(
+        {
+            "_leads": F.row_number().over(in_order) == 1,
+            "_new": F.when(opens, F.col("_parts")).otherwise(0),
+            "participations": total("n"),
+            "wins": total("n_won"),
+            "avg_place": F.bround(total("place_sum") / total("n_placed"), 1),
+            "best_place": F.min("place_min").over(whole),
+            "first_year": F.min("_from").over(whole),
+            "last_year": F.max("_to").over(whole),
+            "region": F.min("_region").over(whole)["region"],
+            "languages": every("languages"),
+            "styles": every("styles"),
+        }
     )
+    before = F.sum("_new").over(in_order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_parts")
+    return profiled.withColumn("part", 1 + before + F.col("_bucket"))
 
 
 def expand_years(years: Column) -> Column:
@@ -157,12 +214,6 @@ def winner_parts(
     return _parts(won, per_part)
 
 
-def _winners_of(combined: DataFrame) -> DataFrame:
-    """Winning entries with their number of copies, from ``_combined``."""
-    won = combined.filter(F.col("n_won") > 0)
-    return won.groupBy("entity", *WINNER_FIELDS).agg(F.sum("n_won").alias("copies"))
-
-
 def _parts(won: DataFrame, per_part: int) -> DataFrame:
     by_year = won.groupBy("entity", "year").agg(F.sum("copies").alias("n"))
     per_entity = Window.partitionBy("entity")
@@ -228,11 +279,10 @@ def winner_list(winning_entries: Column) -> Column:
 
 
 def _opening(event: str, tidy: bool) -> Column:
-    year = F.col("years")["year"]
     return F.concat(
         F.col("entity"), F.lit(f" has participated in {event}{' ' if tidy else ''}"),
-        F.col("participations"), F.lit(" times ("), _shown(F.array_min(year)), F.lit("–"),
-        _shown(F.array_max(year)), F.lit("), representing "), _shown(F.col("region")), F.lit("."),
+        F.col("participations"), F.lit(" times ("), _shown(F.col("first_year")), F.lit("–"),
+        _shown(F.col("last_year")), F.lit("), representing "), _shown(F.col("region")), F.lit("."),
     )
 
 
@@ -262,47 +312,30 @@ def entity_summary(
     """
     opening, closing = _opening(event, tidy), _closing(tidy)
     won = F.concat(F.lit(" They have won "), F.col("wins"), F.lit(" time(s): "))
-    lists = F.col("winners")
-    # one part per started per_part wins of a year, so this number lies behind every winner list
-    last = F.col("wins") + 1
+    entries_won = F.transform("_winners", lambda w: F.array_repeat(w, w["copies"]))
+    lists = winner_list(F.flatten(entries_won))
+    result = F.when(F.col("wins") > 0, F.concat(won, lists, F.lit("."))).otherwise(
+        F.lit(" They have never won.")
+    )
 
-    def piece(kind: str, part: Column, slot: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), part.alias("first"), slot.alias("slot"))
+    def piece(part: Column, text: Column) -> Column:
+        return F.struct(part.cast("long").alias("part"), text.alias("text"))
 
-    none, zero = F.lit(None).cast("int"), F.lit(0).cast("long")
+    zero, none = F.lit(0), F.array().cast("array<struct<part: bigint, text: string>>")
+    ends = F.array(
+        piece(zero, F.concat(opening, won)),
+        # one part per started per_part wins of a year, so this number lies behind every winner list
+        piece(F.col("wins") + 1, F.concat(F.lit("."), closing)),
+    )
     pieces = F.when(
-        F.col("wins") <= per_part, F.array(piece("whole", zero, F.lit(0)))
+        F.col("wins") <= per_part, F.array(piece(zero, F.concat(opening, result, closing)))
     ).otherwise(
-        F.array(
-            piece("opening", zero, none), piece("list", zero, F.lit(1)), piece("closing", last, none)
+        F.concat(
+            F.when(F.col("_leads"), ends).otherwise(none),
+            F.when(F.col("_bucket").isNotNull(), F.array(piece(F.col("part"), lists))).otherwise(none),
         )
     )
-    combined = _combined(entries, entity)
-    profile = _profile(_yearly_of(combined)).withColumn("piece", F.explode(pieces))
-    # keys are compared null-safe: an entity without a name is an entity as well
-    winners = _parts(_winners_of(combined), per_part).select(
-        F.col("entity").alias("_entity"),
-        "part",
-        F.when(F.col("part") == 0, 0).otherwise(1).alias("_slot"),
-        winner_list(F.col("winning_entries")).alias("winners"),
-    )
-    joined = profile.join(
-        winners,
-        F.col("entity").eqNullSafe(F.col("_entity")) & (F.col("piece.slot") == F.col("_slot")),
-        "left",
-    )
-    result = F.when(F.col("wins") > 0, F.concat(won, lists, F.lit("."))).otherwise(
-        F.lit(" They have never won.")
-    )
-    kind = F.col("piece.kind")
-    text = (
-        F.when(kind == "whole", F.concat(opening, result, closing))
-        .when(kind == "opening", F.concat(opening, won))
-        .when(kind == "list", lists)
-        .otherwise(F.concat(F.lit("."), closing))
-    )
-    return joined.select(
-        slug("entity").alias("chunk_id"),
-        F.when(kind == "list", F.col("part")).otherwise(F.col("piece.first")).alias("part"),
-        text.alias("text"),
-    )
+    rows = _profiled(_grouped(_combined(entries, entity), per_part))
+    # the outer form keeps Catalyst from working the texts out again in an inferred filter
+    pieced = rows.select(slug("entity").alias("chunk_id"), F.inline_outer(pieces))
+    return pieced.filter(F.col("part").isNotNull())

@@ -414,8 +414,8 @@ def lookup_with_fallback(t: Tables) -> DataFrame:
 
 @query
 def history_json(t: Tables) -> DataFrame:
-    summaries = si.summaries(t)
-    return V.history_json(summaries, HISTORY_YEAR)
+    # read twice: for the sizes that the documents are cut by, and for the documents
+    return V.history_json(cut_lineage(si.summaries(t)), HISTORY_YEAR)
 
 
 @query

@@ -55,6 +55,11 @@ def test_text_work_stays_in_the_jvm(spark, small, name):
     assert "Python" not in plan and "InArrow" not in plan
 
 
+def test_history_builds_its_summaries_once(spark, small):
+    plan = QUERIES["history_json"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan and "ExistingRDD" in plan
+
+
 def test_filters_reach_the_scan(spark, small):
     plan = QUERIES["vector_topk_filtered"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(label,3)" in plan

@@ -150,6 +150,25 @@ def test_a_hot_summary_reads_like_the_whole_one(spark):
     )
 
 
+def test_parts_of_a_summary_are_those_of_the_winners(spark):
+    rows = hot_rows() + [(None, "Hot", "early", "x", "en", "pop", 1)] * 45 + [(None, "Hot", "lost", "y", "de", "folk", 3)]
+    df = entries(spark, rows)
+    listed = R.winner_parts(df, per_part=20).select("part", R.winner_list(F.col("winning_entries")).alias("text"))
+    expected = {r["part"]: r["text"] for r in listed.filter("entity = 'Hot'").collect()}
+    split = {r["part"]: r["text"] for r in R.entity_summary(df, per_part=20).filter("chunk_id = 'hot'").collect()}
+    opening, closing = split.pop(0), split.pop(346)
+    assert split == expected and len(split) > 10
+    assert opening.startswith("Hot has participated in Eurovision346 times (2000–2003)")
+    assert "performed in: de, en." in closing and "styles include: folk, pop." in closing
+
+
+def test_a_summary_takes_its_entries_once(spark):
+    plan = R.entity_summary(entries(spark, ROWS))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 1 and "Join" not in plan
+    # by all that is shown, and by entity
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_dates(spark):
     df = spark.createDataFrame([(202305141207, dt.datetime(2023, 5, 14, 12, 7))], "s long, t timestamp")
     row = df.select(
