@@ -60,6 +60,11 @@ def test_history_builds_its_summaries_once(spark, small):
     assert "lineitem" not in plan and "ExistingRDD" in plan
 
 
+def test_line_items_are_read_once_for_the_corpus(spark, small):
+    plan = QUERIES["unified_corpus"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet [l_orderkey") == 1
+
+
 def test_filters_reach_the_scan(spark, small):
     plan = QUERIES["vector_topk_filtered"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(label,3)" in plan
