@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from corpusforge.plans import queries
 from corpusforge.plans.oracle import statements
 from corpusforge.plans.queries import registry
 
@@ -65,6 +66,14 @@ def test_line_items_are_read_once_for_the_corpus(spark, small):
     assert plan.count("FileScan parquet [l_orderkey") == 1
 
 
+def test_line_items_are_read_once_for_the_tools(spark, small, monkeypatch):
+    cut = []
+    monkeypatch.setattr(queries, "cut_lineage", lambda df: cut.append(df) or df)
+    QUERIES["tool_dispatch"](spark, small)
+    plan = cut[0]._jdf.queryExecution().executedPlan().toString()
+    assert len(cut) == 1 and plan.count("FileScan parquet [l_orderkey") == 1
+
+
 def test_filters_reach_the_scan(spark, small):
     plan = QUERIES["vector_topk_filtered"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(label,3)" in plan
