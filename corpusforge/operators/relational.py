@@ -127,7 +127,7 @@ def _grouped(combined: DataFrame, per_part: int) -> DataFrame:
     """Rows of ``_combined`` dealt out once by entity, to one row of sums, codes and winners per entity.
 
     An entity with more than ``per_part`` wins has a row per year and hash of its winners, as ``winner_parts`` cuts them, and one of its
-    other entries. Windows keep the rows of an entity on disk where memory ends.
+    other entries. Windows keep the rows of an entity on disk where memory ends. Equal winners of two regions are packed by region.
     """
     # very many copies are dealt out as well, in packs of per_part; a winning entry has placement 1
     packs = F.when(F.col("_won"), F.call_function("div", F.col("n") - 1, F.lit(per_part))).otherwise(0)
@@ -304,7 +304,7 @@ def entity_summary(
     per_part: int = WINNERS_PER_PART,
     tidy: bool = False,
 ) -> DataFrame:
-    """One prose summary per entity as ``(chunk_id, part, text)``.
+    """One prose summary per entity as ``(chunk_id, part, text)``. Takes its entries once.
 
     An entity with at most ``per_part`` wins is one row, part 0. A larger one is an opening (part 0), its
     winner lists (parts 1, 2, ..., to be joined by a comma and a blank) and a closing (the last part).
